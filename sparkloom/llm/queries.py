@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, tokencount
+from . import mixing, simhash, tokencount
 
 
 def queries() -> dict:
     return {
+        "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
         "op6_mixing": mixing.op6_mixing,
         "op7_token_counts": tokencount.op7_token_counts,
     }
