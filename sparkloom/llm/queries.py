@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, simhash, tokencount
+from . import langid, mixing, simhash, tokencount
 
 
 def queries() -> dict:
     return {
+        "op2_language_id": langid.op2_language_id,
         "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
         "op6_mixing": mixing.op6_mixing,
         "op7_token_counts": tokencount.op7_token_counts,
