@@ -204,3 +204,82 @@ def connected_components(scratch: Scratch, edges: DataFrame, rounds: int = 60) -
     else:
         raise RuntimeError("connected components did not settle")
     return e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+
+
+def tiles(scratch: Scratch, rows: DataFrame, keys: list[str], by: str, chunk: int) -> DataFrame:
+    """Deals the rows of each key over tiles of at most about ``chunk`` homes by ``chunk`` visitors.
+
+    Rows have a boolean ``home``; every row is a visitor, and homes meet all visitors of
+    their key. Returns the rows sorted by key and tile within partitions, with ``_tile``,
+    ``home`` and ``visitor``: in exactly one tile a given home and visitor stand together.
+    Keys of one tile, by far the most, aren't multiplied.
+    """
+    rows = scratch.save(rows, "dealt")
+    n = rows.groupBy(*keys).agg(F.count_if("home").alias("_h"), F.count("*").alias("_v")).where((F.col("_h") > 0) & (F.greatest("_h", "_v") > chunk))
+    n = scratch.save(n.select(*(F.col(k).alias(f"_{k}") for k in keys), F.ceil(F.col("_h") / chunk).cast("int").alias("_nh"), F.ceil(F.col("_v") / chunk).cast("int").alias("_nv")), "hot")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    rows = rows.join(n, same[0] if len(same) == 1 else F.expr(" and ".join(f"{k} <=> _{k}" for k in keys)), "left").drop(*(f"_{k}" for k in keys))
+    rows = rows.withColumn("_nh", F.coalesce("_nh", F.lit(1))).withColumn("_nv", F.coalesce("_nv", F.lit(1)))
+    rows = rows.withColumn("_hi", F.pmod(F.xxhash64(by), F.col("_nh")).cast("int")).withColumn("_vj", F.pmod(F.xxhash64(by), F.col("_nv")).cast("int"))
+    visit = F.transform(F.sequence(F.lit(0), F.col("_nh") - 1), lambda i: F.struct((i * F.col("_nv") + F.col("_vj")).alias("t"), (F.col("home") & (i == F.col("_hi"))).alias("h"), F.lit(True).alias("v")))
+    house = F.transform(F.filter(F.sequence(F.lit(0), F.col("_nv") - 1), lambda j: F.col("home") & (j != F.col("_vj"))), lambda j: F.struct((F.col("_hi") * F.col("_nv") + j).alias("t"), F.lit(True).alias("h"), F.lit(False).alias("v")))
+    rows = rows.withColumn("_at", F.explode(F.concat(visit, house)))
+    rest = [c for c in rows.columns if c not in ("home", "_nh", "_nv", "_hi", "_vj", "_at")]
+    rows = rows.select(*rest, F.col("_at.t").alias("_tile"), F.col("_at.h").alias("home"), F.col("_at.v").alias("visitor"))
+    return rows.repartition(int(scratch.spark.conf.get("spark.sql.shuffle.partitions")), *keys, "_tile").sortWithinPartitions(*keys, "_tile")
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """From batches sorted by ``keys``: tables of whole groups, with the groups' bounds."""
+    rest: list[pa.RecordBatch] = []
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        cols = [b.column(b.schema.get_field_index(k)).fill_null(0).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
+        same = bool(rest) and all(rest[-1].column(rest[-1].schema.get_field_index(k))[-1] == b.column(b.schema.get_field_index(k))[0] for k in keys)
+        first = int(new[0]) if len(new) else b.num_rows
+        if rest and same:
+            rest.append(b.slice(0, first))
+            if len(new):
+                t = pa.Table.from_batches(rest)
+                yield t, np.array([0, t.num_rows])
+                rest = []
+        elif rest:
+            t = pa.Table.from_batches(rest)
+            yield t, np.array([0, t.num_rows])
+            rest = []
+        at = first if same else 0
+        if len(new):
+            if new[-1] > at:
+                inner = np.concatenate(([at], new[new > at])) - at
+                yield pa.Table.from_batches([b.slice(at, int(new[-1]) - at)]), inner
+            rest = [b.slice(int(new[-1]))]
+        elif not same:
+            rest = [b]
+    if rest:
+        t = pa.Table.from_batches(rest)
+        yield t, np.array([0, t.num_rows])
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of links between places 0..n-1, those that join trees; and the labels afterwards."""
+    outa, outb = [], []
+    while len(a):
+        la, lb = label[a], label[b]
+        keep = la != lb
+        if not keep.any():
+            break
+        a, b, la, lb = a[keep], b[keep], la[keep], lb[keep]
+        hi, lo = np.maximum(la, lb), np.minimum(la, lb)
+        order = np.lexsort((lo, hi))
+        first = order[np.concatenate(([True], hi[order][1:] != hi[order][:-1]))]
+        outa.append(a[first])
+        outb.append(b[first])
+        parent = np.arange(n)
+        parent[hi[first]] = lo[first]
+        while not np.array_equal(up := parent[parent], parent):
+            parent = up
+        label = parent[label]
+    z = np.zeros(0, np.int64)
+    return (np.concatenate(outa) if outa else z), (np.concatenate(outb) if outb else z), label

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import langid, mixing, simhash, tokencount
+from . import langid, lattice, mixing, simhash, tokencount
 
 
 def queries() -> dict:
     return {
         "op2_language_id": langid.op2_language_id,
+        "op3_lattice_near_dedup": lattice.op3_lattice_near_dedup,
         "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
         "op6_mixing": mixing.op6_mixing,
         "op7_token_counts": tokencount.op7_token_counts,

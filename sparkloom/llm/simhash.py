@@ -10,10 +10,10 @@ fingerprint has a home, its nearest anchor, and is replicated to every anchor wi
 radius + 1 = 2 of it: the home and 15 others. A partner's home is always among them, so
 homes are compared with replicas per anchor, by the whole 64 bits, and no link is lost.
 
-Only distinct fingerprints are compared; an anchor whose homes exceed CHUNK is split by
-the home's hash, and its replicas go to every part. Per anchor part, Python links each
-home to the replicas within 3 bits but reports only a spanning forest of these links, so
-that dense groups don't grow with their square. Components are found by distributed star
+Only distinct fingerprints are compared; an anchor with over CHUNK homes or replicas is dealt
+over tiles of that many. Per tile, Python links homes to the replicas within 3 bits but
+reports only a spanning forest of these links, so that dense groups don't grow with their
+square. Components are found by distributed star
 contraction.
 
 Edge cases: null and empty texts and texts without words have fingerprint zero, which
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, Scratch, connected_components, prepare, real_id, slices, table, text_arrays
+from .common import NULL_ID, Scratch, connected_components, forest, groups, prepare, real_id, table, text_arrays, tiles
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
 CHUNK = 2000
@@ -90,77 +90,29 @@ def anchors(fp: DataFrame) -> DataFrame:
     return home.select("fp", "half", F.explode(F.concat(F.array("home_at"), others)).alias("anchor"), "home_at").select("fp", "half", "anchor", (F.col("anchor") == F.col("home_at")).alias("home"))
 
 
-def _forest(x: np.ndarray, home: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links of a spanning forest of the graph that joins homes to all x within ``distance``."""
-    n = len(x)
-    label = np.arange(n)
-    out: list[tuple[np.ndarray, np.ndarray]] = []
-    at = np.flatnonzero(home)
-    step = max(1, 4_000_000 // max(1, n))
-    for i in range(0, len(at), step):
-        rows = at[i : i + step]
-        a, b = np.nonzero(np.bitwise_count(x[rows][:, None] ^ x[None, :]) <= distance)
-        a = rows[a]
-        keep = a != b
-        a, b = a[keep], b[keep]
-        while True:
-            la, lb = label[a], label[b]
-            keep = la != lb
-            if not keep.any():
-                break
-            a, b, la, lb = a[keep], b[keep], la[keep], lb[keep]
-            hi, lo = np.maximum(la, lb), np.minimum(la, lb)
-            order = np.lexsort((lo, hi))
-            first = order[np.concatenate(([True], hi[order][1:] != hi[order][:-1]))]
-            out.append((x[a[first]], x[b[first]]))
-            parent = np.arange(n)
-            parent[hi[first]] = lo[first]
-            while (up := parent[parent]).tobytes() != parent.tobytes():
-                parent = up
-            label = parent[label]
-    return out
-
-
 def links(fp: DataFrame, scratch: Scratch, distance: int = DISTANCE, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) between distinct fingerprints, enough for the components of all links."""
-    at = scratch.save(anchors(fp), "anchors")
-    hot = scratch.save(at.where("home").groupBy("half", "anchor").agg(F.count("*").alias("n")).where(F.col("n") > chunk).select(F.col("half").alias("h"), F.col("anchor").alias("a"), F.ceil(F.col("n") / chunk).cast("int").alias("parts")), "hot")
-    at = at.join(hot, (F.col("half") == F.col("h")) & (F.col("anchor") == F.col("a")), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    mine = F.pmod(F.xxhash64("fp"), F.col("parts"))
-    every = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(p.cast("long").alias("part"), (F.col("home") & (p == mine)).alias("home")))
-    at = at.select("half", "anchor", "fp", F.explode(every).alias("e")).select("half", "anchor", "fp", "e.part", "e.home")
-    n = int(fp.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    at = at.repartition(n, "half", "anchor", "part").sortWithinPartitions("half", "anchor", "part")
+    at = tiles(scratch, anchors(fp), ["half", "anchor"], "fp", chunk)
 
     def run(batches):
-        rest = None
-        for b in batches:
-            t = pa.Table.from_batches([b]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([b])])
-            key = [t.column(c).to_numpy() for c in ("half", "anchor", "part")]
-            new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1 if len(t) else np.zeros(0, int)
-            cut = int(new[-1]) if len(new) else 0
-            yield from found(t.slice(0, cut), np.concatenate(([0], new)) if cut else np.zeros(1, int))
-            rest = t.slice(cut)
-        if rest is not None and len(rest):
-            yield from found(rest, np.array([0, len(rest)]))
-
-    def found(t, bounds):
-        if len(bounds) < 2:
-            return
-        x, home = t.column("fp").to_numpy().view(np.uint64), t.column("home").to_numpy()
-        size = np.diff(bounds)
-        out = []
-        two = np.flatnonzero(size == 2)  # by far the most frequent of those that can link
-        a, b = bounds[two], bounds[two] + 1
-        near = (home[a] | home[b]) & (np.bitwise_count(x[a] ^ x[b]) <= distance)
-        out.append((x[a[near]], x[b[near]]))
-        for k in np.flatnonzero(size > 2):
-            g = slice(bounds[k], bounds[k + 1])
-            if home[g].any():
-                out += _forest(x[g], home[g], distance)
-        a, b = (np.concatenate([o[k] for o in out]).view(np.int64) for k in (0, 1))
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        for t, bounds in groups(batches, ["half", "anchor", "_tile"]):
+            x, home = t.column("fp").to_numpy().view(np.uint64), t.column("home").to_numpy()
+            size = np.diff(bounds)
+            two = bounds[np.flatnonzero(size == 2)]  # by far the most frequent of those that can link
+            near = (home[two] | home[two + 1]) & (np.bitwise_count(x[two] ^ x[two + 1]) <= distance)
+            found = [(x[two[near]], x[two[near] + 1])]
+            for k in np.flatnonzero(size > 2):
+                y = x[bounds[k] : bounds[k + 1]]
+                at_home, label = np.flatnonzero(home[bounds[k] : bounds[k + 1]]), np.arange(len(y))
+                step = max(1, 2_000_000 // len(y))
+                for i in range(0, len(at_home), step):
+                    rows = at_home[i : i + step]
+                    a, b = np.nonzero(np.bitwise_count(y[rows][:, None] ^ y[None, :]) <= distance)
+                    a, b, label = forest(len(y), rows[a], b, label)
+                    found.append((y[a], y[b]))
+            a, b = (np.concatenate([f[k] for f in found]).view(np.int64) for k in (0, 1))
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return at.mapInArrow(run, "a long, b long")
 
