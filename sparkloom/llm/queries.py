@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import langid, lattice, mixing, simhash, tokencount
+from . import langid, lattice, mixing, pii, simhash, tokencount
 
 
 def queries() -> dict:
     return {
+        "op1_pii": pii.op1_pii,
         "op2_language_id": langid.op2_language_id,
         "op3_lattice_near_dedup": lattice.op3_lattice_near_dedup,
         "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
