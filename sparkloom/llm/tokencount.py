@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import prepare, table
+from .common import Scratch, prepare, table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's texts are split before merging (fixed by the public tokenizer).
@@ -63,9 +63,9 @@ def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str =
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long")
 
 
-def length_histogram(lengths: DataFrame) -> DataFrame:
+def length_histogram(lengths: DataFrame, scratch: Scratch) -> DataFrame:
     """Per distinct length: documents and tokens at it, at or above it, and totals cut at it."""
-    h = lengths.groupBy(F.col("n_tokens").alias("length")).agg(F.count("*").alias("n_docs"))
+    h = scratch.save(lengths.groupBy(F.col("n_tokens").alias("length")).agg(F.count("*").alias("n_docs")), "histogram")  # read twice
     h = h.withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn("_b", F.floor(F.col("length") / BLOCK))
     blocks = h.groupBy("_b").agg(F.sum("n_docs").alias("_d"), F.sum("n_tokens").alias("_t"))
     above = W.partitionBy(F.lit(0)).orderBy(F.col("_b").desc()).rowsBetween(W.unboundedPreceding, -1)
@@ -83,4 +83,4 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
 
 
 def op7_token_counts(spark, sf_dir: str) -> DataFrame:
-    return length_histogram(token_lengths(table(spark, sf_dir, "documents")))
+    return length_histogram(token_lengths(table(spark, sf_dir, "documents")), Scratch(spark, "op7"))
