@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langid, lattice, mixing, pii, simhash, tokencount
+from . import decontaminate, langid, lattice, mixing, pii, simhash, tokencount
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_pii": pii.op1_pii,
         "op2_language_id": langid.op2_language_id,
         "op3_lattice_near_dedup": lattice.op3_lattice_near_dedup,
+        "op4_decontaminate": decontaminate.op4_decontaminate,
         "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
         "op6_mixing": mixing.op6_mixing,
         "op7_token_counts": tokencount.op7_token_counts,

@@ -61,18 +61,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for every row: fp is the fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(*keep, fp) for every row: fp is the fingerprint as a signed 64-bit number."""
     prepare(docs.sparkSession)
+    schema = docs.select(*keep).schema.add("fp", "long")
 
     def run(batches):
         for b in batches:
-            data, off = text_arrays(b.column(1))
+            data, off = text_arrays(b.column(b.num_columns - 1))
             raw, cuts = data.tobytes(), off.tolist()
             fp = np.fromiter((fingerprint(raw[x:y], shingle) for x, y in zip(cuts, cuts[1:])), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fp.view(np.int64))], names=schema.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
 
 
 #: Bits of a 31-bit word whose position (1 to 31) has bit k set: the checks of the Hamming code.
@@ -121,6 +122,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, d
     """(doc_id, fp, component_id): component_id is the smallest doc_id reachable by links."""
     if not 0 <= distance <= 3:
         raise ValueError("the anchors guarantee distances up to 3")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     fps = scratch.save(fingerprints(docs, shingle), "fingerprints")
     distinct = scratch.save(fps.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("low"), F.count("*").alias("n")), "distinct")
     comp = connected_components(scratch, links(distinct.select("fp"), scratch, distance))
@@ -131,6 +133,20 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, d
     return fps.join(of, F.col("fp") == F.col("f")).select("doc_id", "fp", real_id("component_id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component, the smallest doc_id.
+
+    Of rows that repeat an id with the same fingerprint, one stays.
+    """
+    found = near_duplicates(docs, scratch, shingle, distance)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("k"), F.col("fp").alias("f")).distinct()
+    kept = scratch.save(kept, "kept")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"), "text")
+    rows = fingerprints(rows, shingle, ("_row", "_id"))
+    rows = rows.join(kept, (F.col("_id") == F.col("k")) & (F.col("fp") == F.col("f")), "left_semi").dropDuplicates(["_id", "fp"])
+    return rows.select("_row.*")
+
+
 def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op5"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
