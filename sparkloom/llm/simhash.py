@@ -3,12 +3,14 @@
 Fingerprint: A-Z lower-cased, words between ASCII white space, 3-word shingles (repeats
 included) hashed with XXH64 (seed 42); a bit is 1 if set in over half of the hashes.
 
-Search: two fingerprints that differ in at most 3 of 64 bits differ in at most 1 bit of one
-32-bit half. The anchors of a half are the 2^26 words of the binary Hamming code of length
-31, which covers all 31-bit words with radius 1 (the half's top bit takes no part). Each
-fingerprint has a home, its nearest anchor, and is replicated to every anchor within
-radius + 1 = 2 of it: the home and 15 others. A partner's home is always among them, so
-homes are compared with replicas per anchor, by the whole 64 bits, and no link is lost.
+Search: two fingerprints that differ in at most DISTANCE = 3 of 64 bits differ in at most 1
+bit of one 32-bit half. The anchors of a half are the words of a covering code: the binary
+Hamming code of length 31, which covers its bits with radius 1, and the code of all words for
+the bit beside it, 2^27 anchors in all. Each fingerprint has a home, its nearest anchor, and
+is replicated to every anchor within radius + 1 of it: the home and 16 others. A partner's
+home is always among them, so homes are compared with replicas per anchor, by the whole 64
+bits, and no link is lost. For distances up to 5 or 7 the fingerprint has three or four
+parts, with the code of length 15: 2^17 or 2^12 anchors, and so more comparisons.
 
 Only distinct fingerprints are compared; an anchor with over CHUNK homes or replicas is dealt
 over tiles of that many. Per tile, Python links homes to the replicas within 3 bits but
@@ -76,27 +78,42 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...]
     return docs.select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
 
 
-#: Bits of a 31-bit word whose position (1 to 31) has bit k set: the checks of the Hamming code.
-CHECKS = [sum(1 << (p - 1) for p in range(1, 32) if p >> k & 1) for k in range(5)]
+def _checks(n: int) -> list[int]:
+    """Bits of an n-bit word whose position (1 to n) has bit k set: the checks of the Hamming code."""
+    return [sum(1 << (p - 1) for p in range(1, n + 1) if p >> k & 1) for k in range(n.bit_length())]
 
 
-def anchors(fp: DataFrame) -> DataFrame:
-    """Homes and replicas: (fp, half, anchor, home)."""
-    halves = fp.select("fp", F.explode(F.array(*(F.struct(F.lit(i).alias("half"), F.expr(f"shiftrightunsigned(fp, {32 * i}) & {0x7FFFFFFF}L").alias("x")) for i in (0, 1)))).alias("h")).select("fp", "h.*")
-    check = lambda k: F.shiftleft(F.bit_count(F.col("x").bitwiseAND(F.lit(CHECKS[k]))) % 2, k)
-    halves = halves.withColumn("s", sum((check(k) for k in range(1, 5)), check(0)).cast("int"))
-    bit = lambda p: f"if(({p}) = 0, 0L, shiftleft(1L, ({p}) - 1))"
-    home = halves.withColumn("home_at", F.expr(f"x ^ {bit('s')}"))
-    others = F.expr(f"if(s = 0, array(), transform(filter(sequence(1, 31), p -> p < (p ^ s) and p != s), p -> x ^ {bit('p')} ^ {bit('p ^ s')}))")
-    return home.select("fp", "half", F.explode(F.concat(F.array("home_at"), others)).alias("anchor"), "home_at").select("fp", "half", "anchor", (F.col("anchor") == F.col("home_at")).alias("home"))
+def layout(distance: int) -> list[tuple[int, int, int]]:
+    """(first bit, bits, bits of the Hamming code) of each part of the fingerprint."""
+    if not 0 <= distance <= 7:
+        raise ValueError("distances from 0 to 7")
+    parts = max(2, distance // 2 + 1)  # one part differs by distance div parts = 1 bit at most
+    cuts = [64 * k // parts for k in range(parts + 1)]
+    return [(a, b - a, 31 if b - a > 31 else 15) for a, b in zip(cuts, cuts[1:])]
+
+
+def anchors(fp: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Homes and replicas: (fp, part, anchor, home)."""
+    out = None
+    for part, (first, bits, n) in enumerate(layout(distance)):
+        at = fp.select("fp", F.expr(f"shiftrightunsigned(fp, {first}) & {(1 << bits) - 1}L").alias("x"))
+        check = lambda k, mask: F.shiftleft(F.bit_count(F.col("x").bitwiseAND(F.lit(mask))) % 2, k)
+        at = at.withColumn("s", sum((check(k, m) for k, m in enumerate(_checks(n))), F.lit(0)).cast("int"))
+        bit = lambda p: f"if(({p}) = 0, 0L, shiftleft(1L, ({p}) - 1))"
+        at = at.withColumn("h", F.expr(f"x ^ {bit('s')}"))
+        near = F.expr(f"if(s = 0, array(), transform(filter(sequence(1, {n}), p -> p < (p ^ s) and p != s), p -> x ^ {bit('p')} ^ {bit('p ^ s')}))")
+        beside = F.array(*(F.expr(f"h ^ {1 << k}L") for k in range(n, bits)))
+        at = at.select("fp", F.lit(part).alias("part"), F.explode(F.concat(F.array("h"), near, beside)).alias("anchor"), "h").select("fp", "part", "anchor", (F.col("anchor") == F.col("h")).alias("home"))
+        out = at if out is None else out.unionAll(at)
+    return out
 
 
 def links(fp: DataFrame, scratch: Scratch, distance: int = DISTANCE, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) between distinct fingerprints, enough for the components of all links."""
-    at = tiles(scratch, anchors(fp), ["half", "anchor"], "fp", chunk)
+    at = tiles(scratch, anchors(fp, distance), ["part", "anchor"], "fp", chunk)
 
     def run(batches):
-        for t, bounds in groups(batches, ["half", "anchor", "_tile"]):
+        for t, bounds in groups(batches, ["part", "anchor", "_tile"]):
             x, home = t.column("fp").to_numpy().view(np.uint64), t.column("home").to_numpy()
             size = np.diff(bounds)
             two = bounds[np.flatnonzero(size == 2)]  # by far the most frequent of those that can link
@@ -120,8 +137,6 @@ def links(fp: DataFrame, scratch: Scratch, distance: int = DISTANCE, chunk: int
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the smallest doc_id reachable by links."""
-    if not 0 <= distance <= 3:
-        raise ValueError("the anchors guarantee distances up to 3")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     fps = scratch.save(fingerprints(docs, shingle), "fingerprints")
     distinct = scratch.save(fps.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("low"), F.count("*").alias("n")), "distinct")
