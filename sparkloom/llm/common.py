@@ -149,7 +149,9 @@ def _powers(n: int) -> np.ndarray:
     if len(_POWERS) < n:
         m = 1 << max(10, (n - 1).bit_length())
         with np.errstate(over="ignore"):
-            _POWERS = np.cumprod(np.concatenate(([1], np.full(m - 1, 0x9E3779B97F4A7C15, np.uint64))).astype(np.uint64))
+            steps = np.full(m, _MUL)
+            steps[0] = 1
+            _POWERS = np.cumprod(steps, dtype=np.uint64)
     return _POWERS
 
 
