@@ -179,19 +179,46 @@ def route(blocks: DataFrame, scratch: Scratch, emit: Callable[[Block], list[Stre
     return back.where("sums is null").select("block", "bucket", "message"), found
 
 
-def gather(blocks: DataFrame, back: DataFrame, scratch: Scratch, run: Callable[[int, Block, list[np.ndarray]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """Runs ``run(block id, block, arrays)`` on every block with what came back, whole arrays in key order."""
-    both = blocks.select("block", F.lit(-1).alias("bucket"), F.col("blob").alias("message")).unionAll(back.select("block", "bucket", "message"))
+def answer(messages: DataFrame, scratch: Scratch, reply: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
+    """Answers rows (block, bucket, message): ``reply`` gets all messages of a bucket."""
+
+    def run(batches):
+        for t, bounds in groups(batches, ["bucket"]):
+            for lo, hi in zip(bounds, bounds[1:]):
+                g = t.slice(lo, hi - lo)
+                out = reply(g.column("message").to_pylist())
+                yield pa.RecordBatch.from_arrays([g.column("block").combine_chunks(), g.column("bucket").combine_chunks(), pa.array(out, pa.binary())], ["block", "bucket", "message"])
+
+    n = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
+    return messages.repartition(n, "bucket").sortWithinPartitions("bucket", "block").mapInArrow(run, "block long, bucket int, message binary")
+
+
+def gather(blocks: DataFrame, backs: list[DataFrame], scratch: Scratch, run: Callable[[int, Block, list[dict[int, list[np.ndarray]]]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Runs ``run(block id, block, replies)`` on every block; replies are, for each of ``backs``,
+    the decoded messages by bucket."""
+    both = blocks.select("block", F.lit(-1).alias("src"), F.lit(-1).alias("bucket"), F.col("blob").alias("message"))
+    for k, back in enumerate(backs):
+        both = both.unionAll(back.select("block", F.lit(k).alias("src"), "bucket", "message"))
+
+    sources = len(backs)
 
     def together(batches):
         for t, bounds in groups(batches, ["block"]):
             for lo, hi in zip(bounds, bounds[1:]):
                 g = t.slice(lo, hi - lo)
-                if g.column("bucket")[0].as_py() != -1:
+                src, bucket = g.column("src").to_pylist(), g.column("bucket").to_pylist()
+                if src[0] != -1:
                     continue
-                messages = [dec(m) for m in g.column("message").to_pylist()[1:]]
-                arrays = [np.concatenate(x) for x in zip(*messages)]
-                yield from run(g.column("block")[0].as_py(), Block(g.column("message")[0].as_py()), arrays)
+                replies: list[dict[int, list[np.ndarray]]] = [{} for _ in range(sources)]
+                for k in range(1, len(g)):
+                    replies[src[k]][bucket[k]] = dec(g.column("message")[k].as_py())
+                yield from run(g.column("block")[0].as_py(), Block(g.column("message")[0].as_py()), replies)
 
     n = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
-    return both.repartition(n, "block").sortWithinPartitions("block", "bucket").mapInArrow(together, schema)
+    return both.repartition(n, "block").sortWithinPartitions("block", "src", "bucket").mapInArrow(together, schema)
+
+
+def whole(reply: dict[int, list[np.ndarray]], kinds: list) -> list[np.ndarray]:
+    """A block's arrays in key order, put together from its buckets."""
+    found = [reply[k] for k in sorted(reply)]
+    return [np.concatenate([f[k] for f in found]) if found else np.zeros(0, kind) for k, kind in enumerate(kinds)]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, Scratch, mix64, real_id, table, word_bounds, word_hashes
-from .exchange import Block, gather, pack, route
+from .exchange import Block, gather, pack, route, whole
 
 END, BEGIN = np.uint64(0x1F0E2D3C4B5A6978), np.uint64(0x8796A5B4C3D2E1F1)
 FOLDS, HELD_OUT, DELETED = 7, 2, 3
@@ -139,7 +139,8 @@ def score(docs: DataFrame, scratch: Scratch) -> DataFrame:
     back, found = route(blocks, scratch, _emit, _combine, _totals)
     n, v, n_fold, n_docs, fold_docs = (found[0][:5] if found and found[0] else [0, 0, 0, 0, 0])
 
-    def held_out_counts(_, block, arrays):
+    def held_out_counts(_, block, replies):
+        arrays = whole(replies[0], [np.uint32] * 4)
         bounds, single, single_fold, pair, pair_fold, context, context_fold = _estimates(block, arrays, n_docs, fold_docs)
         rest = context - context_fold
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -152,10 +153,11 @@ def score(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
     held = blocks.where("cls = 1")
     own = back.join(F.broadcast(held.select("block")) if held.count() < 100_000 else held.select("block"), "block", "left_semi")
-    counts = gather(held, own, scratch, held_out_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counts = gather(held, [own], scratch, held_out_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     weights = learn([(r.key >> 16, r.key >> 8 & 255, r.key & 255, r.n) for r in counts.orderBy("key").collect()], 1 / (v + 1))
 
-    def scored(_, block, arrays):
+    def scored(_, block, replies):
+        arrays = whole(replies[0], [np.uint32] * 4)
         bounds, single, _, pair, _, context, _ = _estimates(block, arrays, n_docs, fold_docs)
         w = weights[bucket(context)]
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -165,7 +167,7 @@ def score(docs: DataFrame, scratch: Scratch) -> DataFrame:
         cols = [pa.array(block.ids), pa.array(block.flags == TEST), pa.array(np.diff(bounds)), pa.array(add((single > 0).astype(np.int64))), pa.array(np.full(len(block.ids), n, np.int64)), pa.array(add(base)), pa.array(add(np.log10(p)))]
         yield pa.RecordBatch.from_arrays(cols, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    out = gather(blocks, back, scratch, scored, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = gather(blocks, [back], scratch, scored, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumn("doc_id", real_id("doc_id"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, langid, lattice, mixing, ngram, pii, simhash, tokencount
+from . import decontaminate, langid, lattice, mixing, ngram, pii, simhash, suffix_tree, tokencount
 
 
 def queries() -> dict:
@@ -14,9 +14,10 @@ def queries() -> dict:
         "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
         "op6_mixing": mixing.op6_mixing,
         "op7_token_counts": tokencount.op7_token_counts,
+        "op9_substring_dedup": suffix_tree.op9_substring_dedup,
         "op10_ngram_score": ngram.op10_ngram_score,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mixing": mixing.ORACLE}
+    return {"op3_lattice_near_dedup": lattice.ORACLE, "op6_mixing": mixing.ORACLE, "op9_substring_dedup": suffix_tree.ORACLE}
