@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, langid, lattice, mixing, ngram, pii, simhash, suffix_tree, tokencount
+from . import decontaminate, langid, lattice, mixing, ngram, pii, simhash, suffix_array, suffix_tree, tokencount
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
         "op6_mixing": mixing.op6_mixing,
         "op7_token_counts": tokencount.op7_token_counts,
+        "op8_suffix_array_dedup": suffix_array.op8_suffix_array_dedup,
         "op9_substring_dedup": suffix_tree.op9_substring_dedup,
         "op10_ngram_score": ngram.op10_ngram_score,
     }
