@@ -1,7 +1,6 @@
 """A corpus pipeline of five stages over ``documents``; each calls one operator of sparkloom.llm.
 
-1. language_id: rows whose text has no determined language go (null or letterless text, or
-   a score under MIN_SCORE).
+1. language_id: rows whose text has no determined language go (null or letterless text).
 2. near_dedup: one document of each group of near duplicates stays, the smallest doc_id.
 3. decontaminate: documents that hold an item of ``benchmark`` go.
 4. pii: personal data is replaced by its kind in brackets; n_chars follows the text.
@@ -20,7 +19,6 @@ from pyspark.sql import functions as F
 from sparkloom.llm import decontaminate, langid, mixing, pii, simhash
 from sparkloom.llm.common import Scratch, table
 
-MIN_SCORE = 0.3
 #: Words of a shingle and differing bits of 64; 7 bits are an angle whose cosine is 0.94.
 SHINGLE, BITS = 5, 7
 
@@ -28,7 +26,7 @@ SHINGLE, BITS = 5, 7
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(~langid.held_out()))
     rows = langid.predict(docs.select(F.struct(*docs.columns).alias("_row"), "text"), model, ("_row",))
-    return rows.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SCORE)).select("_row.*")
+    return rows.where(F.col("lang_pred") != langid.UNDETERMINED).select("_row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
