@@ -116,3 +116,35 @@ def spans_of(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     begin[inner] = mask[inner]
     sums = np.concatenate(([0], np.cumsum(begin)))
     return sums[bounds[1:]] - sums[bounds[:-1]]
+
+
+#: Bytes of segments that a bucket's task works on at once.
+PART_BYTES = 1 << 20
+
+
+def in_parts(key: np.ndarray, count: np.ndarray, size: np.ndarray, body: np.ndarray, decide, limit: int = PART_BYTES) -> np.ndarray:
+    """A bucket's decisions, made for whole anchors at a time, so that the work's memory is bounded.
+
+    ``decide(rows, body)`` answers for every window of some segments; a segment has ``count``
+    windows and ``size`` bytes of ``body``. Returns the answers in the order of the segments.
+    """
+    out = np.zeros(int(count.sum(dtype=np.int64)), bool)
+    if len(key) == 0:
+        return out
+    size = size.astype(np.int64)
+    first, answer = np.cumsum(size) - size, np.cumsum(count, dtype=np.int64) - count
+    order = np.argsort(key, kind="stable")
+    total = np.cumsum(size[order])
+    edge = np.flatnonzero(np.concatenate((key[order][1:] != key[order][:-1], [True]))) + 1
+    at = 0
+    while at < len(order):
+        upto = np.searchsorted(total, (total[at - 1] if at else 0) + limit, side="right")
+        end = edge[max(np.searchsorted(edge, upto, side="right") - 1, np.searchsorted(edge, at, side="right"))]
+        rows = order[at:end]
+        within = lambda n: np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        n = size[rows]
+        found = decide(rows, body[np.repeat(first[rows], n) + within(n)])
+        n = count[rows].astype(np.int64)
+        out[np.repeat(answer[rows], n) + within(n)] = found
+        at = int(end)
+    return out

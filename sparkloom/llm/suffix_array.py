@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, mix64, real_id, table
 from .exchange import Block, answer, dec, enc, gather, n_buckets, pack, route, whole
-from .passages import HOT, Windows, covered, gram_hashes, spans_of, unique_texts
+from .passages import HOT, Windows, covered, gram_hashes, in_parts, spans_of, unique_texts
 
 LENGTH, K = 100, 32
 MEMORY_BYTES = 64 << 20
@@ -231,7 +231,9 @@ def _reply(length: int):
     def reply(messages: list[bytes]) -> list[bytes]:
         parts = [dec(m) for m in messages]
         cat = [np.concatenate([p[k] for p in parts]) for k in range(10)]
-        bits, hot = decide(*cat[:6], length=length), decide_hot(*cat[6:])
+        size = cat[2].astype(np.int64) + length - 1
+        bits = in_parts(cat[0], cat[2], size, cat[5], lambda rows, body: decide(*(c[rows] for c in cat[:5]), body, length=length))
+        hot = decide_hot(*cat[6:])
         ends, hot_ends = np.cumsum([int(p[2].sum(dtype=np.int64)) for p in parts]), np.cumsum([len(p[6]) for p in parts])
         return [enc([x.astype(np.uint8), y.astype(np.uint8)]) for x, y in zip(np.split(bits, ends[:-1]), np.split(hot, hot_ends[:-1]))]
 
@@ -247,7 +249,7 @@ def dedup_bytes(docs: DataFrame, scratch: Scratch, length: int = LENGTH, k: int
     flags, _ = route(blocks, scratch, _emit(length, k), _frequency(hot), buckets=n)
 
     def ask(block_id, block, replies):
-        rows = Candidates(block, whole(replies[0], [np.uint8])[0], length, k).messages(n)
+        rows = Candidates(block, whole(replies[0], [np.uint8])[0], length, k).messages(2 * n)
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([block_id] * len(rows)), pa.array([b for b, _ in rows], pa.int32()), pa.array([m for _, m in rows], pa.binary())], ["block", "bucket", "message"])
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, real_id, table, word_bounds, word_hashes
 from .exchange import Block, answer, dec, enc, gather, n_buckets, pack, route, whole
-from .passages import HOT, Windows, covered, gram_hashes, unique_texts
+from .passages import HOT, Windows, covered, gram_hashes, in_parts, unique_texts
 
 WINDOW, K = 13, 5
 
@@ -170,7 +170,7 @@ def _reply(window: int):
     def reply(messages: list[bytes]) -> list[bytes]:
         parts = [dec(m) for m in messages]
         cat = [np.concatenate([p[k] for p in parts]) for k in range(9)]
-        bits = subtrees(*cat[:6], window=window)
+        bits = in_parts(cat[0], cat[2], cat[4], cat[5], lambda rows, body: subtrees(*(c[rows] for c in cat[:5]), body, window=window))
         hot = decide_hot(cat[6], cat[7], cat[8])
         ends, hot_ends = np.cumsum([int(p[2].sum(dtype=np.int64)) for p in parts]), np.cumsum([len(p[6]) for p in parts])
         return [enc([x.astype(np.uint8), y.astype(np.uint8)]) for x, y in zip(np.split(bits, ends[:-1]), np.split(hot, hot_ends[:-1]))]
@@ -202,7 +202,7 @@ def dedup_words(docs: DataFrame, scratch: Scratch, window: int = WINDOW, k: int
     flags, _ = route(blocks, scratch, _emit(window, k), _frequency(hot), buckets=n)
 
     def ask(block_id, block, replies):
-        rows = Candidates(Words(block, window, k), whole(replies[0], [np.uint8])[0]).messages(n)
+        rows = Candidates(Words(block, window, k), whole(replies[0], [np.uint8])[0]).messages(2 * n)
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([block_id] * len(rows)), pa.array([b for b, _ in rows], pa.int32()), pa.array([m for _, m in rows], pa.binary())], ["block", "bucket", "message"])
 
@@ -242,6 +242,6 @@ x as (select doc_id, list(j) as gone from r group by doc_id),
 y as (select d.doc_id, len(d.w) as n_words, coalesce(len(x.gone), 0) as n_removed, d.w, x.gone from d left join x using (doc_id))
 select doc_id, n_words::bigint as n_words, n_removed::bigint as n_removed,
   sha256(case when gone is null then array_to_string(w, ' ')
-         else coalesce(array_to_string(list_transform(list_filter(range(1, len(w) + 1), i -> not list_contains(gone, i)), i -> w[i]), ' '), '') end) as kept_sha256
+         else coalesce(array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: not list_contains(gone, i)), lambda i: w[i]), ' '), '') end) as kept_sha256
 from y
 """
