@@ -34,6 +34,8 @@ from .exchange import Block, answer, dec, enc, gather, n_buckets, pack, route, w
 from .passages import HOT, Windows, covered, gram_hashes, in_parts, spans_of, unique_texts
 
 LENGTH, K = 100, 32
+#: Text of a block; every byte takes some 64-bit numbers for a while.
+BLOCK_BYTES = 3 << 19
 MEMORY_BYTES = 64 << 20
 
 
@@ -244,7 +246,7 @@ def dedup_bytes(docs: DataFrame, scratch: Scratch, length: int = LENGTH, k: int
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; kept are the bytes left."""
     if not k < length <= 255:
         raise ValueError("the anchor must be shorter than the string, and this at most 255 bytes")
-    blocks = pack(docs, scratch)
+    blocks = pack(docs, scratch, block_bytes=BLOCK_BYTES)
     n = n_buckets(blocks.count())
     flags, _ = route(blocks, scratch, _emit(length, k), _frequency(hot), buckets=n)
 
