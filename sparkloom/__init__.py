@@ -1,0 +1 @@
+"""Log analytics on Spark: parse, classify, window, alert and deliver application logs."""
