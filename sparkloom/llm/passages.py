@@ -86,7 +86,8 @@ class Windows:
         self.place = self.anchor[self.run]
         self.first = self.start[self.run]
         self.of = self.doc[self.run]
-        self.key = grams[self.place] if len(self.run) else np.zeros(0, np.uint64)
+        # mixed anew: as minima of their windows, the hashes themselves crowd at the low end
+        self.key = mix64(grams[self.place] ^ np.uint64(0xA5A5A5A55A5A5A5A)) if len(self.run) else np.zeros(0, np.uint64)
 
 
 def unique_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
