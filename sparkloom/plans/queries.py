@@ -315,7 +315,7 @@ def oracle_sql() -> dict[str, str]:
         "exception_thread": _sql("select id, exception, fields['thread'] as thread from ev where exception is not null or fields['thread'] is not null"),
         "json_promote": _sql("select id, level, user_id, pairs from ev where message like '{%'"),
         "clean_columns": _sql(f"select id, {_STAMP.format('tm')} as \"at\", service, message, user_id, ip, status_code, latency_ms, stack_trace from ev"),
-        "ts_fallback": _sql(f"""select id, case id % 6 when 0 then epoch_ms(ts) // 1000 * 1000 when 1 then epoch_ms(ts) when 2 then epoch_ms(strptime({given}, '%Y-%m-%dT%H:%M:%S') - interval 2 hour) when 3 then epoch_ms(ts) // 1000 * 1000 end as at_ms,
+        "ts_fallback": _sql(f"""select id, case id % 6 when 0 then epoch_us(ts) // 1000000 * 1000 when 1 then epoch_us(ts) // 1000 when 2 then epoch_ms(strptime({given}, '%Y-%m-%dT%H:%M:%S') - interval 2 hour) when 3 then epoch_us(ts) // 1000000 * 1000 end as at_ms,
             case id % 6 when 4 then 'IllegalArgumentException: unparseable timestamp: ''yesterday''' when 5 then 'IllegalArgumentException: no usable timestamp (column null and none in message)' end as reason from app_logs"""),
         "dead_letters": _sql("select id as source_id, message as raw_message, 'IllegalArgumentException: malformed JSON ' as reason from parsed where bad"),
         "fingerprint_groups": _sql("select fingerprint, count(*) as n, min(id) as first_id from fp group by 1", _PRINTS),
@@ -338,10 +338,10 @@ def oracle_sql() -> dict[str, str]:
         "alert_spike": alert("ERROR_RATE_SPIKE", ""),
         "alert_service": alert("SERVICE_ERROR_CONCENTRATION"),
         "alert_login": alert("FAILED_LOGIN_BURST"),
-        "alert_docs": _sql("""select -1::bigint as id, 'alert-' || rule || '-' || subject || '-' || epoch(watermark)::bigint as es_id, 'app-alerts-' || strftime(watermark, '%Y.%m.%d') as target_index,
+        "alert_docs": _sql("""select -1::bigint as id, 'alert-' || rule || '-' || subject || '-' || floor(epoch(watermark))::bigint as es_id, 'app-alerts-' || strftime(watermark, '%Y.%m.%d') as target_index,
             case severity when 'CRITICAL' then 'ERROR' else 'WARN' end as level, 'ALERT' as category, 'OBSERVABILITY' as domain, severity, 'alert:' || rule as fingerprint, message, true as synthetic from alerts where rule <> 'ERROR_RATE_SPIKE'""", _WINDOW, _ALERTS),
         "all_documents": _sql("""select target_index, count(distinct es_id) as n from (select 'applog-' || id as es_id, 'app-logs-' || strftime(tm, '%Y.%m.%d') as target_index from ev
-            union all select 'alert-' || rule || '-' || subject || '-' || epoch(watermark)::bigint, 'app-alerts-' || strftime(watermark, '%Y.%m.%d') from alerts) group by 1""", _WINDOW, _ALERTS),
+            union all select 'alert-' || rule || '-' || subject || '-' || floor(epoch(watermark))::bigint, 'app-alerts-' || strftime(watermark, '%Y.%m.%d') from alerts) group by 1""", _WINDOW, _ALERTS),
         "dedupe_replay": _sql("select level, count(*) as n, sum(id)::bigint as ids from ev group by 1"),
         "retry_triage": _sql("select 'applog-' || id as es_id, 'app-logs-' || strftime(tm, '%Y.%m.%d') as target_index, case when id % 50 = 0 then 400 else 0 end as http_status, case when id % 50 = 0 then 'mapper_parsing_exception' else 'retries exhausted' end as reason from ev where id % 50 < 2"),
         "delivered": _sql("select count(*) filter (where id % 50 >= 2) as indexed, count(*) filter (where id % 50 < 2) as dead from ev"),
