@@ -8,7 +8,8 @@ programming chooses boundaries and types jointly, ``O`` being a segment of one w
 segments are added as further spans; they can also be of the type ``secret``.
 
 The field is trained by conditional likelihood (forward-backward over segments, numpy) on
-silver labels - base spans and assigned secrets - in a bounded sample: the regions of about
+silver labels - base spans, words that the patterns match by themselves, and assigned
+secrets - in a bounded sample: the regions of about
 SAMPLE_DOCS documents chosen by a hash of the id, at most MAX_REGIONS of them.
 
 Edge cases: a null text is empty and has no spans; repeated rows each give a row; words of
@@ -279,6 +280,9 @@ def _gold(text: str, words: list[tuple[int, int]], spans: list[Span]) -> np.ndar
         for n in range(min(MAX_WORDS, len(words) - i), 0, -1):
             a, b = trimmed(text, words[i][0], words[i + n - 1][1])
             y = next((y for (x, e), y in known.items() if a <= x < e <= b and x - a <= 1 and b - e <= 1), 0)
+            if not y and b - a <= MAX_CHARS:  # a span by itself, which its neighbours hide from the patterns
+                alone = base_spans(text[a:b])
+                y = TYPES.index(alone[0][2]) if len(alone) == 1 and alone[0][:2] == (0, b - a) else 0
             if y or n == 1:
                 out[i] = n, y
                 i += n
