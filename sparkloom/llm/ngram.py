@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, Scratch, mix64, real_id, table, word_bounds, word_hashes
-from .exchange import Block, gather, pack, route, whole
+from .exchange import Block, gather, n_buckets, pack, route, whole
 
 END, BEGIN = np.uint64(0x1F0E2D3C4B5A6978), np.uint64(0x8796A5B4C3D2E1F1)
 FOLDS, HELD_OUT, DELETED = 7, 2, 3
 BUCKETS, STEP, LOWEST = 24, 0.1, -12.0
+#: Text of a block; a task holds a block's tokens and pairs, and a bucket's, as numbers.
+BLOCK_BYTES = 2 << 20
 #: Flags of documents in blocks.
 TRAIN, FOLD, TEST = 0, 1, 2
 
@@ -135,8 +137,8 @@ def score(docs: DataFrame, scratch: Scratch) -> DataFrame:
     spark = scratch.spark
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
     flag = F.when(fold == HELD_OUT, TEST).when(fold == DELETED, FOLD).otherwise(TRAIN)
-    blocks = pack(docs, scratch, flag, F.when(fold == DELETED, 1).otherwise(0))
-    back, found = route(blocks, scratch, _emit, _combine, _totals)
+    blocks = pack(docs, scratch, flag, F.when(fold == DELETED, 1).otherwise(0), BLOCK_BYTES)
+    back, found = route(blocks, scratch, _emit, _combine, _totals, 2 * n_buckets(blocks.count()))
     n, v, n_fold, n_docs, fold_docs = (found[0][:5] if found and found[0] else [0, 0, 0, 0, 0])
 
     def held_out_counts(_, block, replies):
