@@ -8,7 +8,7 @@ from pyspark.sql.window import Window as W
 
 from ..config import Config
 from ..sources.scratch import settle
-from .window import errors_by_service, failed_logins_by_ip, running
+from .window import running
 
 FOLD = 512
 
@@ -58,11 +58,3 @@ def service_alerts(counts: DataFrame, evals: DataFrame, c: Config) -> DataFrame:
 def login_alerts(counts: DataFrame, evals: DataFrame, c: Config) -> DataFrame:
     hot = counts.where(F.col("n") >= c.anomaly_failed_login_threshold).join(evals.select("e", "watermark"), "e")
     return _alert(hot, "FAILED_LOGIN_BURST", F.col("ip"), F.format_string("%d failed auth attempts from %s in %ds", "n", "ip", F.lit(c.window_seconds)), "DEGRADED", F.col("n"))
-
-
-def alerts(tracked: DataFrame, evals: DataFrame, snaps: DataFrame, c: Config) -> DataFrame:
-    """All rules at every evaluation."""
-    spikes = spike_alerts(baselines(snaps, c.anomaly_ema_alpha, c.anomaly_min_events), c)
-    services = service_alerts(errors_by_service(tracked, evals, c.window_seconds, service_limit(c)), evals, c)
-    logins = login_alerts(failed_logins_by_ip(tracked, evals, c.window_seconds, c.anomaly_failed_login_threshold), evals, c)
-    return spikes.unionByName(services).unionByName(logins)

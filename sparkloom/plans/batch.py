@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import analyze as A
@@ -13,27 +12,76 @@ from ..operators import detect, documents, parse, window
 from ..sources.scratch import settle
 
 
-@dataclass
 class Flow:
-    """Results of one catch-up run; what several of them need is written once."""
+    """One catch-up run: batches are numbered over all rows by id, and each with an event is
+    evaluated at its end. A part is made when it is first asked for; what other parts use
+    several times is written once."""
 
-    parsed: DataFrame
-    analyzed: DataFrame
-    dead: DataFrame
-    tracked: DataFrame
-    evaluations: DataFrame
-    snapshots: DataFrame
-    alerts: DataFrame
-    documents: DataFrame
+    def __init__(self, raw: DataFrame, c: Config, geo: DataFrame | None = None, segments: DataFrame | None = None):
+        self.raw, self.c, self.geo, self.segments = raw, c, geo, segments
+
+    @cached_property
+    def parsed(self) -> DataFrame:
+        return settle(parse.parse(window.number_batches(self.raw, self.c.batch_size), self.c.source_zone, keep=("batch_id",)), "parsed")
+
+    @cached_property
+    def dead(self) -> DataFrame:
+        return parse.dead_letters(self.parsed)
+
+    @cached_property
+    def analyzed(self) -> DataFrame:
+        return A.enrich(A.analyze(window.dedupe(parse.events(self.parsed))), self.geo, self.segments, self.c.deployment_version)
+
+    @cached_property
+    def tracked(self) -> DataFrame:
+        return settle(window.track(settle(window.entries(self.analyzed), "entries")), "tracked")
+
+    @cached_property
+    def evaluations(self) -> DataFrame:
+        return settle(window.evaluations(self.tracked), "evaluations")
+
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        return settle(window.snapshots(self.tracked, self.evaluations, self.c.window_seconds), "snapshots")
+
+    @cached_property
+    def baselines(self) -> DataFrame:
+        return detect.baselines(self.snapshots, self.c.anomaly_ema_alpha, self.c.anomaly_min_events)
+
+    @cached_property
+    def errors_by_service(self) -> DataFrame:
+        return window.errors_by_service(self.tracked, self.evaluations, self.c.window_seconds)
+
+    @cached_property
+    def failed_logins_by_ip(self) -> DataFrame:
+        return window.failed_logins_by_ip(self.tracked, self.evaluations, self.c.window_seconds)
+
+    @cached_property
+    def latency_by_service(self) -> DataFrame:
+        return window.latency_by_service(self.tracked, self.evaluations, self.c.window_seconds)
+
+    @cached_property
+    def spike_alerts(self) -> DataFrame:
+        return detect.spike_alerts(self.baselines, self.c)
+
+    @cached_property
+    def service_alerts(self) -> DataFrame:
+        counts = window.errors_by_service(self.tracked, self.evaluations, self.c.window_seconds, detect.service_limit(self.c))
+        return detect.service_alerts(counts, self.evaluations, self.c)
+
+    @cached_property
+    def login_alerts(self) -> DataFrame:
+        counts = window.failed_logins_by_ip(self.tracked, self.evaluations, self.c.window_seconds, self.c.anomaly_failed_login_threshold)
+        return detect.login_alerts(counts, self.evaluations, self.c)
+
+    @cached_property
+    def alerts(self) -> DataFrame:
+        return self.spike_alerts.unionByName(self.service_alerts).unionByName(self.login_alerts)
+
+    @cached_property
+    def documents(self) -> DataFrame:
+        return documents.documents(self.analyzed).unionByName(documents.documents(documents.alert_events(self.alerts)))
 
 
 def build(raw: DataFrame, c: Config, geo: DataFrame | None = None, segments: DataFrame | None = None) -> Flow:
-    """Batches are numbered over all rows by id; each with an event is evaluated at its end."""
-    parsed = settle(parse.parse(window.number_batches(raw, c.batch_size), c.source_zone, keep=("batch_id",)), "parsed")
-    analyzed = A.enrich(A.analyze(window.dedupe(parse.events(parsed))), geo, segments, c.deployment_version)
-    tracked = settle(window.track(settle(window.entries(analyzed), "entries")), "tracked")
-    evals = settle(window.evaluations(tracked), "evaluations")
-    snaps = settle(window.snapshots(tracked, evals, c.window_seconds), "snapshots")
-    alerts = detect.alerts(tracked, evals, snaps, c)
-    docs = documents.documents(analyzed).unionByName(documents.documents(documents.alert_events(alerts)))
-    return Flow(parsed, analyzed, parse.dead_letters(parsed), tracked, evals, snaps, alerts, docs)
+    return Flow(raw, c, geo, segments)

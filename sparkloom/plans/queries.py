@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import analyze as A
-from ..operators import delivery, detect, documents, parse, window
+from ..operators import delivery, documents, parse, window
 from ..sources import app_logs, state
 from .batch import build
 
@@ -141,43 +141,40 @@ def window_snapshot(spark, sf_dir):
 
 
 def errors_by_service(spark, sf_dir):
-    f = _flow(spark, sf_dir)
-    return window.errors_by_service(f.tracked, f.evaluations, CONFIG.window_seconds).select("e", "service", "n")
+    return _flow(spark, sf_dir).errors_by_service.select("e", "service", "n")
 
 
 def failed_logins_by_ip(spark, sf_dir):
-    f = _flow(spark, sf_dir)
-    return window.failed_logins_by_ip(f.tracked, f.evaluations, CONFIG.window_seconds).select("e", "ip", "n")
+    return _flow(spark, sf_dir).failed_logins_by_ip.select("e", "ip", "n")
 
 
 def avg_latency_by_service(spark, sf_dir):
-    f = _flow(spark, sf_dir)
-    return window.latency_by_service(f.tracked, f.evaluations, CONFIG.window_seconds).select("e", "service", F.round("avg_latency_ms", 6).alias("avg_latency_ms"))
+    return _flow(spark, sf_dir).latency_by_service.select("e", "service", F.round("avg_latency_ms", 6).alias("avg_latency_ms"))
 
 
 def ema_baseline(spark, sf_dir):
-    out = detect.baselines(_flow(spark, sf_dir).snapshots, CONFIG.anomaly_ema_alpha, CONFIG.anomaly_min_events)
-    return out.select("e", F.round("baseline", 9).alias("baseline"), F.round("ema", 9).alias("ema"))
+    return _flow(spark, sf_dir).baselines.select("e", F.round("baseline", 9).alias("baseline"), F.round("ema", 9).alias("ema"))
 
 
-def _alerts(spark, sf_dir, rule):
-    return _flow(spark, sf_dir).alerts.where(F.col("rule") == rule).select("e", _stamp("at").alias("at"), "subject", "severity", F.round("value", 9).alias("value"), "message")
+def _alerts(alerts):
+    return alerts.select("e", _stamp("at").alias("at"), "subject", "severity", F.round("value", 9).alias("value"), "message")
 
 
 def alert_spike(spark, sf_dir):
-    return _alerts(spark, sf_dir, "ERROR_RATE_SPIKE").drop("message")
+    return _alerts(_flow(spark, sf_dir).spike_alerts).drop("message")
 
 
 def alert_service(spark, sf_dir):
-    return _alerts(spark, sf_dir, "SERVICE_ERROR_CONCENTRATION")
+    return _alerts(_flow(spark, sf_dir).service_alerts)
 
 
 def alert_login(spark, sf_dir):
-    return _alerts(spark, sf_dir, "FAILED_LOGIN_BURST")
+    return _alerts(_flow(spark, sf_dir).login_alerts)
 
 
 def alert_docs(spark, sf_dir):
-    return documents.alert_events(_flow(spark, sf_dir).alerts).where("fingerprint <> 'alert:ERROR_RATE_SPIKE'").select("id", "es_id", "target_index", "level", "category", "domain", "severity", "fingerprint", "message", "synthetic")
+    f = _flow(spark, sf_dir)
+    return documents.alert_events(f.service_alerts.unionByName(f.login_alerts)).select("id", "es_id", "target_index", "level", "category", "domain", "severity", "fingerprint", "message", "synthetic")
 
 
 def all_documents(spark, sf_dir):
