@@ -55,24 +55,22 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         prepare(spark)
         self.spark, self.root, self.n = spark, f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
 
     def save(self, df: DataFrame, name: str = "t") -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n:03d}-{name}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
 
-    def drop(self, *names: str) -> None:
-        """Deletes finished tables by the number they were saved under, to free disk early."""
-        jvm = self.spark.sparkContext._jvm
-        top = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = top.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        for x in names:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(x), True)
-
-    @staticmethod
-    def path_of(df: DataFrame) -> str:
-        return os.path.dirname(df.inputFiles()[0]) if df.inputFiles() else ""
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables that nothing will read again."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for df in tables:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df))[1])
+            path.getFileSystem(conf).delete(path, True)
 
 
 def text_arrays(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,13 +190,15 @@ def connected_components(scratch: Scratch, edges: DataFrame, rounds: int = 60) -
     e = scratch.save(edges.select("a", "b").where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
     for _ in range(rounds):
+        old = e
         both = e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = scratch.save(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m")), "low")
         large = both.where("b > a").join(low, F.col("a") == F.col("k")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = scratch.save(large, "large")
-        low = scratch.save(large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m"), "low")
-        small = large.join(low, F.col("a") == F.col("k")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionAll(low.select(F.col("k").alias("a"), F.col("m").alias("b"))).distinct()
+        least = scratch.save(large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m"), "least")
+        small = large.join(least, F.col("a") == F.col("k")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionAll(least.select(F.col("k").alias("a"), F.col("m").alias("b"))).distinct()
         e = scratch.save(small, "edges")
+        scratch.drop(old, low, large, least)
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first()
         if now == seen:
             break

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -151,13 +152,14 @@ class Benchmark:
         return [(d, self.ids[i], score, start) for (d, i), (score, start) in sorted(best.items())]
 
 
-def benchmark_parts(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
-    """The items, a bounded part at a time, each collected by itself."""
+def benchmark_parts(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The items, a bounded part at a time."""
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     r = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
     parts = max(-(-r.n // PART_ITEMS), -(-r.b // PART_BYTES)) * 2 if max(r.n / PART_ITEMS, r.b / PART_BYTES) > 1 else 1
     mine = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
-    return [sorted(((x.item_id, x.text) for x in items.where(mine == k).collect()), key=lambda x: (x[0] is not None, x)) for k in range(parts)]
+    for k in range(parts):
+        yield sorted(((x.item_id, x.text) for x in items.where(mine == k).collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
 
 
 _BUILT: dict[str, Benchmark] = {}

@@ -15,7 +15,7 @@ from sparkloom.llm import decontaminate, langid, mixing, ngram, pii, tokencount
 from sparkloom.llm.common import Scratch
 
 from ..conftest import same_rows
-from .fixtures import SCHEMA, documents, frame, save, words
+from .fixtures import documents, frame, save, words
 
 
 def fold(i, n):
