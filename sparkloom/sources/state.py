@@ -52,9 +52,10 @@ class Checkpoint:
         row = None if found is None else found.where(F.col("pipeline_name") == pipeline).first()
         return 0 if row is None else row.last_processed_id
 
-    def advance(self, pipeline: str, mark: int) -> int:
+    def advance(self, pipeline: str, mark: int, **more: int) -> int:
+        """Moves the mark, and with it others named ``pipeline:name``, in one write."""
         spark, found = self.table.spark, self.table.read()
-        new = spark.createDataFrame([(pipeline, mark)], "pipeline_name string, last_processed_id long")
+        new = spark.createDataFrame([(pipeline, mark), *((f"{pipeline}:{k}", v) for k, v in more.items())], "pipeline_name string, last_processed_id long")
         rows = new if found is None else found.drop("updated_at").unionByName(new)
         self.table.write(advance(rows).withColumn("updated_at", F.current_timestamp()))
         return self.read(pipeline)

@@ -19,7 +19,8 @@ from ..config import Config
 from ..functions.metrics import Metrics
 from ..operators import analyze as A
 from ..operators import delivery, detect, documents, parse, window
-from ..sources.state import Versions, index_dead_letters, parse_dead_letters
+from ..sources import app_logs
+from ..sources.state import Checkpoint, Versions, index_dead_letters, parse_dead_letters
 
 _LIVE = ("id", "at", "service", "is_error", "is_auth", "ip", "latency_ms", "eff")
 
@@ -128,6 +129,35 @@ class Pipeline:
         self.metrics.add("index.latency", time.time() - began)
 
 
+def catch_up(raw: DataFrame, pipeline: Pipeline, marks: Checkpoint) -> int:
+    """Pages through a table by its key until a short page; returns the rows read.
+
+    A page's number is stored with the mark, so a page that failed comes again under the same
+    number and replaces what it left. For large backlogs use plans.batch.Flow, which takes all
+    pages at once.
+    """
+    c, rows = pipeline.c, 0
+    cursor = marks.read(c.pipeline_name)
+    try:
+        pipeline.metrics.set("backlog.estimate", app_logs.backlog(raw, cursor).first().backlog or 0)
+    except Exception:  # noqa: BLE001  the estimate is for the gauge only
+        pass
+    while True:
+        page = app_logs.page(raw, cursor, c.batch_size).persist()
+        try:
+            found = page.agg(F.count("*").alias("n"), F.max("id").alias("top")).first()
+            if found.n == 0:
+                return rows
+            number = marks.read(f"{c.pipeline_name}:pages")
+            pipeline.process(page, number)
+            cursor = marks.advance(c.pipeline_name, found.top, pages=number + 1)
+            rows += found.n
+            if found.n < c.batch_size:
+                return rows
+        finally:
+            page.unpersist()
+
+
 def start(raw: DataFrame, pipeline: Pipeline, once: bool = False):
     """Runs the stream: all there is and then stop, or at the run interval for good."""
     writer = raw.writeStream.foreachBatch(pipeline.process).option("checkpointLocation", f"{pipeline.path}/checkpoint").queryName(pipeline.c.pipeline_name)

@@ -12,7 +12,7 @@ from sparkloom.functions.metrics import Metrics, serve
 from sparkloom.plans.batch import build
 from sparkloom.schema import RAW
 from sparkloom.sources.state import Checkpoint, MemoryBaselines, StoredBaselines, baselines, parse_dead_letters
-from sparkloom.streaming.stream import Pipeline, read_files, start
+from sparkloom.streaming.stream import Pipeline, catch_up, read_files, start
 
 C = Config(batch_size=40, window_seconds=600, anomaly_min_events=10, anomaly_failed_login_threshold=3)
 
@@ -90,3 +90,24 @@ def test_http_surface():
     ready[0] = True
     assert get("/health/ready").status == 200
     server.shutdown()
+
+
+def test_catch_up_resumes_after_a_failure(spark, tmp_path):
+    raw = spark.createDataFrame(rows(100), RAW)
+    pipeline, marks = Pipeline(spark, f"file://{tmp_path}/out", C), Checkpoint(spark, f"file://{tmp_path}/marks")
+    deliver, calls = pipeline._deliver, []
+
+    def broken(docs, batch):
+        calls.append(batch)
+        if len(calls) == 2:
+            raise OSError("down")
+        deliver(docs, batch)
+
+    pipeline._deliver = broken
+    with pytest.raises(OSError):
+        catch_up(raw, pipeline, marks)
+    assert marks.read("app-logs") == 40 and pipeline.metrics.values["run.failures"] == 1 and pipeline.metrics.values["backlog.estimate"] == 100
+    assert catch_up(raw, pipeline, marks) == 60 and catch_up(raw, pipeline, marks) == 0 and marks.read("app-logs") == 100
+    assert calls == [0, 1, 1, 2]
+    want = build(raw, C).snapshots.orderBy("e").select("total", "errors").collect()
+    assert spark.read.parquet(f"{tmp_path}/out/snapshots").orderBy("e").select("total", "errors").collect() == want
