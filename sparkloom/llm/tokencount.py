@@ -29,7 +29,7 @@ from .common import Scratch, prepare, table
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's texts are split before merging (fixed by the public tokenizer).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BLOCK = 1024
+BLOCK = 64
 
 _LOADED: dict[str, object] = {}
 
