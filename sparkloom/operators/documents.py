@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import instant_text
+from ..schema import DOCUMENT
 from .analyze import index_name
 
 
@@ -41,3 +42,22 @@ def alert_events(alerts: DataFrame) -> DataFrame:
 def latest(docs: DataFrame, key: str = "es_id") -> DataFrame:
     """One document an id, as an overwrite by id leaves it (equal ids have equal bodies)."""
     return docs.groupBy(key).agg(*(F.max(c).alias(c) for c in docs.columns if c != key))
+
+
+# Fields whose mapping doesn't follow from their type.
+_MAPPED = {"@timestamp": {"type": "date"}, "message": {"type": "text"}, "stackTrace": {"type": "text"}, "ip": {"type": "ip", "ignore_malformed": True}}
+
+
+def index_template(patterns: tuple[str, ...] = ("app-logs-*", "app-alerts-*"), shards: int = 1, replicas: int = 1, refresh: str = "5s") -> dict:
+    """The receiver's template for both families of indices, from the document schema."""
+    plain = {"string": "keyword", "long": "long", "integer": "integer", "boolean": "boolean", "map": "object"}
+    of = lambda f: _MAPPED.get(f.name) or {"type": plain[f.dataType.typeName()]} | ({"dynamic": True} if f.dataType.typeName() == "map" else {})
+    return {
+        "index_patterns": list(patterns),
+        "template": {"settings": {"number_of_shards": shards, "number_of_replicas": replicas, "refresh_interval": refresh}, "mappings": {"dynamic": True, "properties": {f.name: of(f) for f in DOCUMENT.fields}}},
+    }
+
+
+def read_documents(docs: DataFrame) -> DataFrame:
+    """Bodies read back by the document schema."""
+    return docs.select("es_id", "target_index", F.from_json("body", DOCUMENT).alias("d")).select("es_id", "target_index", "d.*")

@@ -1,10 +1,11 @@
 import datetime as dt
+import json
 
 import pytest
 
 from sparkloom.operators import analyze as A
-from sparkloom.operators import parse
-from sparkloom.schema import RAW
+from sparkloom.operators import documents, parse
+from sparkloom.schema import DOCUMENT, RAW
 
 NOON = dt.datetime(2026, 1, 1, 12, 0)
 
@@ -112,3 +113,18 @@ def test_trace_and_enrichment(spark):
 
 def test_empty_input(spark):
     assert A.analyze(parse.events(parse.parse(spark.createDataFrame([], RAW)))).count() == 0
+
+
+def test_documents(spark):
+    rows = [row(5, service="pay", message="user=7 a=\"x y\"", status=503, ts=dt.datetime(2026, 1, 1, 12, 0, 0, 120000)), row(6)]
+    docs = documents.documents(A.enrich(A.analyze(parse.events(parse.parse(spark.createDataFrame(rows, RAW)))), version="v1"))
+    body = {r.es_id: r for r in docs.collect()}
+    d = json.loads(body["applog-5"].body)
+    assert list(d) == DOCUMENT.names and d["@timestamp"] == "2026-01-01T12:00:00.120Z" and d["userId"] == 7 and d["fields"] == {"a": "x y", "user": "7"} and d["enrichment"] == {"deploymentVersion": "v1"}
+    e = json.loads(body["applog-6"].body)
+    assert list(e) == DOCUMENT.names and e["service"] is None and e["@timestamp"] == "2026-01-01T12:00:00Z" and e["fields"] == {}
+    assert body["applog-5"].target_index == "app-logs-2026.01.01" and body["applog-5"].n_bytes == len(body["applog-5"].body.encode())
+    back = {r.es_id: r for r in documents.read_documents(docs).collect()}
+    assert back["applog-5"].sourceId == 5 and back["applog-5"].severity == "CRITICAL" and back["applog-6"].synthetic is False
+    mapped = documents.index_template()["template"]["mappings"]["properties"]
+    assert list(mapped) == DOCUMENT.names and mapped["ip"]["ignore_malformed"] and mapped["statusCode"] == {"type": "integer"} and mapped["fields"] == {"type": "object", "dynamic": True}
