@@ -27,7 +27,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 #: Knots (time, relative weight) by weight index: the strong source fades, the weak one rises.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)))
 BUDGET, MOST = 1.5, 2
-RANGE_ROWS = 4096
+RANGE_ROWS = 1024
 
 
 def pieces(knots) -> list[tuple[float, float, float, float]]:
