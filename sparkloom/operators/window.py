@@ -47,8 +47,9 @@ def number_batches(raw: DataFrame, batch_size: int, span: int = ID_SPAN) -> Data
 
 
 def dedupe(events: DataFrame) -> DataFrame:
-    """One event of each positive id; others are all kept."""
-    return events.where("id > 0").dropDuplicates(["id"]).unionByName(events.where("id <= 0"))
+    """One event of each positive id; others are all kept. One pass over the events."""
+    alone = F.when(F.col("id") > 0, F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    return events.withColumn("_alone", alone).dropDuplicates(["id", "_alone"]).drop("_alone")
 
 
 def entries(analyzed: DataFrame) -> DataFrame:

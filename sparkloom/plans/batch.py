@@ -20,9 +20,12 @@ class Flow:
     def __init__(self, raw: DataFrame, c: Config, geo: DataFrame | None = None, segments: DataFrame | None = None):
         self.raw, self.c, self.geo, self.segments = raw, c, geo, segments
 
+    def _parse(self) -> DataFrame:
+        return parse.parse(window.number_batches(self.raw, self.c.batch_size), self.c.source_zone, keep=("batch_id",))
+
     @cached_property
     def parsed(self) -> DataFrame:
-        return settle(parse.parse(window.number_batches(self.raw, self.c.batch_size), self.c.source_zone, keep=("batch_id",)), "parsed")
+        return settle(self._parse(), "parsed")
 
     @cached_property
     def dead(self) -> DataFrame:
@@ -34,7 +37,9 @@ class Flow:
 
     @cached_property
     def tracked(self) -> DataFrame:
-        return settle(window.track(settle(window.entries(self.analyzed), "entries")), "tracked")
+        # the window needs a few columns only: unless the parsed rows are there, they aren't written for it
+        analyzed = self.analyzed if "parsed" in self.__dict__ else A.analyze(window.dedupe(parse.events(self._parse())))
+        return settle(window.track(settle(window.entries(analyzed), "entries")), "tracked")
 
     @cached_property
     def evaluations(self) -> DataFrame:
@@ -80,7 +85,8 @@ class Flow:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return documents.documents(self.analyzed).unionByName(documents.documents(documents.alert_events(self.alerts)))
+        own = documents.documents(self.analyzed)
+        return own.unionByName(documents.documents(documents.alert_events(self.alerts)))
 
 
 def build(raw: DataFrame, c: Config, geo: DataFrame | None = None, segments: DataFrame | None = None) -> Flow:
