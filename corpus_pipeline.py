@@ -1,7 +1,8 @@
 """A corpus pipeline of five stages over ``documents``; each calls one operator of sparkloom.llm.
 
 1. language_id: rows whose text has no determined language go (null or letterless text).
-2. near_dedup: one document of each group of near duplicates stays, the smallest doc_id.
+2. near_dedup: documents whose sets of 5-word shingles have a similarity of 0.8 or more are linked;
+   one document of each group of linked ones stays, the smallest doc_id.
 3. decontaminate: documents that hold an item of ``benchmark`` go.
 4. pii: personal data is replaced by its kind in brackets; n_chars follows the text.
 5. mix: documents get their training position and the words that the mix takes; columns of
@@ -16,12 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontaminate, langid, mixing, pii, simhash
+from sparkloom.llm import decontaminate, langid, mixing, pii, similar
 from sparkloom.llm.common import Scratch, table
 
-#: Words of a shingle and differing bits of 64; 7 bits are an angle whose cosine is 0.94.
-SHINGLE, BITS = 5, 7
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(~langid.held_out()))
@@ -30,7 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs, Scratch(spark, "near_dedup"), SHINGLE, BITS)
+    return similar.one_of_each(docs, Scratch(spark, "near_dedup"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +50,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontaminate", decontaminated), ("pii", without_pii), ("mix", mix)]
 
-#: The stages train models and compare fingerprints; tests hold them against brute force.
+#: The stages train models and compare shingles; tests hold them against brute force.
 ORACLE_SQL = None
 
 
