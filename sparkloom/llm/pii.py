@@ -10,7 +10,8 @@ segments are added as further spans; they can also be of the type ``secret``.
 The field is trained by conditional likelihood (forward-backward over segments, numpy) on
 silver labels - base spans, words that the patterns match by themselves, and assigned
 secrets - in a bounded sample: the regions of about
-SAMPLE_DOCS documents chosen by a hash of the id, at most MAX_REGIONS of them.
+SAMPLE_DOCS documents chosen by a hash of the id, cut between segments into pieces of up to
+WINDOW words, at most MAX_REGIONS of them. Decoding runs over whole regions.
 
 Edge cases: a null text is empty and has no spans; repeated rows each give a row; words of
 over MAX_CHARS characters are never part of an added span; an empty table gives none; extra
@@ -19,6 +20,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import zlib
@@ -35,6 +37,8 @@ TYPES = ("O", "email", "ip", "card", "phone", "secret")
 MAX_WORDS, MAX_CHARS, WINDOW, REACH = 4, 128, 16, 80
 SAMPLE_DOCS, MAX_REGIONS = 4000, 4000
 SLOTS, WIDTH = 4096, 16
+#: Words that are decoded at once, but for a single longer run.
+DECODED = 8192
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -44,6 +48,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]+")
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _SECRET = re.compile(r"(?i)\b(?:token|secret|api[_-]?key|password|passwd|pwd)\b[\x20\x09]*[=:][\x20\x09]*[\"']?([A-Za-z0-9+/_.-]{16,128})")
+_BLANK = " \t\n\v\f\r"
 _TRIM = "\"'<>[]{},;:!?*#$%&|.=`"
 
 Span = tuple[int, int, str]
@@ -91,10 +96,10 @@ def silver_spans(text: str) -> list[Span]:
 
 
 def regions(text: str) -> list[list[tuple[int, int]]]:
-    """Windows of word spans around digits and ``@``; words of a window are consecutive."""
+    """Runs of word spans around digits and ``@``; words of a run are consecutive and whole."""
     out: list[list[tuple[int, int]]] = []
+    areas: list[tuple[int, int]] = []
     low = high = -1
-    areas = []
     for m in _TRIGGER.finditer(text):
         if m.start() - REACH > high:
             if high >= 0:
@@ -103,19 +108,25 @@ def regions(text: str) -> list[list[tuple[int, int]]]:
         high = m.end() + REACH
     if high >= 0:
         areas.append((low, min(high, len(text))))
+    spans: list[list[int]] = []
     for low, high in areas:
-        words = [m.span() for m in _WORDS.finditer(text, low, min(high, len(text)))]
-        if words and words[0][0] == low and low > 0 and not text[low - 1].isspace():
-            words = words[1:]  # cut by the window's edge
-        if words and words[-1][1] == high and high < len(text) and not text[high].isspace():
-            words = words[:-1]
+        while low > 0 and text[low] not in _BLANK and text[low - 1] not in _BLANK and (not spans or low > spans[-1][1]):
+            low -= 1
+        m = _WORDS.match(text, high) if text[high - 1] not in _BLANK else None
+        high = m.end() if m else high
+        if spans and low <= spans[-1][1]:
+            spans[-1][1] = max(high, spans[-1][1])
+        else:
+            spans.append([low, high])
+    for low, high in spans:
+        words = [m.span() for m in _WORDS.finditer(text, low, high)]
         hit = [any("0" <= c <= "9" or c == "@" for c in text[a:b]) for a, b in words]
         keep = [any(hit[max(0, i - 3) : i + 4]) for i in range(len(words))]
         run: list[tuple[int, int]] = []
         for w, k in zip(words, keep):
             if k:
                 run.append(w)
-            if run and (not k or len(run) == WINDOW):
+            elif run:
                 out.append(run)
                 run = []
         if run:
@@ -123,6 +134,18 @@ def regions(text: str) -> list[list[tuple[int, int]]]:
     return out
 
 
+def blocks(gold: np.ndarray) -> list[tuple[int, int]]:
+    """Cuts a run for training into pieces of at most WINDOW words, none inside a silver segment."""
+    out, low = [], 0
+    while low < len(gold):
+        high = min(len(gold), low + WINDOW)
+        while high < len(gold) and gold[high, 0] == 0:
+            high -= 1
+        out.append((low, high))
+        low = high
+    return out
+
+
 def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
     while start < end and text[start] in _TRIM:
         start += 1
@@ -165,7 +188,7 @@ def span_features(text: str, words: list[tuple[int, int]], i: int, n: int) -> li
 
 def lattice(text: str, words: list[tuple[int, int]]) -> np.ndarray:
     """Feature slots [word, length - 1, WIDTH]; slot 0 is empty and weighs nothing."""
-    out = np.zeros((WINDOW, MAX_WORDS, WIDTH), np.int16)
+    out = np.zeros((len(words), MAX_WORDS, WIDTH), np.int16)
     for i in range(len(words)):
         for n in range(1, min(MAX_WORDS, len(words) - i) + 1):
             f = span_features(text, words, i, n)
@@ -190,11 +213,11 @@ class Field:
     def best(self, slots: np.ndarray, size: np.ndarray, free: np.ndarray) -> list[list[tuple[int, int, int]]]:
         """The best segmentation of each region: (word, length, type) of its entities."""
         s = self.scores(slots, free)
-        r, t = len(s), len(TYPES)
-        top = np.full((r, WINDOW + 1, t), -np.inf)
-        back = np.zeros((r, WINDOW + 1, t, 2), np.int8)
+        r, longest, t = len(s), s.shape[1], len(TYPES)
+        top = np.full((r, longest + 1, t), -np.inf)
+        back = np.zeros((r, longest + 1, t, 2), np.int8)
         top[:, 0, 0] = 0
-        for j in range(1, WINDOW + 1):
+        for j in range(1, longest + 1):
             for n in range(1, min(MAX_WORDS, j) + 1):
                 via = top[:, j - n, :, None] + self.a[None]
                 prev = via.argmax(axis=1)
@@ -265,17 +288,20 @@ class Field:
 
 def _free(words: list[tuple[int, int]], taken: list[Span]) -> np.ndarray:
     """Whether words i..i+n-1 touch no span of ``taken``."""
-    out = np.ones((WINDOW, MAX_WORDS), bool)
-    for i in range(len(words)):
+    out = np.ones((len(words), MAX_WORDS), bool)
+    starts, ends = [a for a, _ in words], [b for _, b in words]
+    for s, e, _ in taken:  # the words that the span touches are low..high-1
+        low, high = bisect.bisect_right(ends, s), bisect.bisect_left(starts, e)
         for n in range(1, MAX_WORDS + 1):
-            if i + n > len(words) or any(words[i][0] < e and s < words[i + n - 1][1] for s, e, _ in taken):
-                out[i, n - 1] = False
+            out[max(0, low - n + 1) : high, n - 1] = False
+    for n in range(2, MAX_WORDS + 1):
+        out[max(0, len(words) - n + 1) :, n - 1] = False
     return out
 
 
 def _gold(text: str, words: list[tuple[int, int]], spans: list[Span]) -> np.ndarray:
     """(length, type) at the first word of each silver segment; other words are O."""
-    out, known, i = np.zeros((WINDOW, 2), np.int8), {(a, b): TYPES.index(k) for a, b, k in spans}, 0
+    out, known, i = np.zeros((len(words), 2), np.int8), {(a, b): TYPES.index(k) for a, b, k in spans}, 0
     while i < len(words):
         for n in range(min(MAX_WORDS, len(words) - i), 0, -1):
             a, b = trimmed(text, words[i][0], words[i + n - 1][1])
@@ -304,7 +330,13 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_regions: int = MAX_
             for text in b.column(0).to_pylist():
                 spans = silver_spans(text)
                 for words in regions(text):
-                    yield pa.RecordBatch.from_arrays([pa.array([lattice(text, words).tobytes()], pa.binary()), pa.array([_free(words, []).tobytes()], pa.binary()), pa.array([_gold(text, words, spans).tobytes()], pa.binary()), pa.array([len(words)], pa.int32())], ["x", "free", "gold", "n"])
+                    x, gold = lattice(text, words), _gold(text, words, spans)
+                    for a, b in blocks(gold):
+                        fill = lambda v: np.concatenate((v, np.zeros((WINDOW - len(v), *v.shape[1:]), v.dtype)))
+                        part = fill(_free(words[a:b], [])), fill(gold[a:b])
+                        own = x[a:b].copy()
+                        own[~part[0][: b - a]] = 0  # a segment over the piece's end
+                        yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in (fill(own), *part)] + [pa.array([b - a], pa.int32())], ["x", "free", "gold", "n"])
 
     rows = chosen.select("text").mapInArrow(run, "x binary, free binary, gold binary, n int").orderBy(F.xxhash64("x", "gold")).limit(max_regions).collect()
     if rows:
@@ -323,10 +355,17 @@ def added_spans(texts: list[str], bases: list[list[Span]], field: Field) -> list
             free = _free(words, near)
             if any(free[i, 0] and any("0" <= c <= "9" or c == "@" for c in text[a:b]) for i, (a, b) in enumerate(words)):
                 jobs.append((k, words, free))
-    for at in range(0, len(jobs), 256):
+    jobs.sort(key=lambda job: len(job[1]))
+    at = 0
+    while at < len(jobs):
         part = jobs[at : at + 256]
-        slots = np.stack([lattice(texts[k], words) for k, words, _ in part])
-        for (k, words, _), found in zip(part, field.best(slots, np.array([len(w) for _, w, _ in part]), np.stack([f for _, _, f in part]))):
+        while len(part) > 1 and len(part) * len(part[-1][1]) > DECODED:  # padded to the longest
+            part = part[: max(1, DECODED // len(part[-1][1]))]
+        at += len(part)
+        longest = len(part[-1][1])
+        fill = lambda v: np.concatenate((v, np.zeros((longest - len(v), *v.shape[1:]), v.dtype)))  # noqa: E731,B023
+        slots = np.stack([fill(lattice(texts[k], words)) for k, words, _ in part])
+        for (k, words, _), found in zip(part, field.best(slots, np.array([len(w) for _, w, _ in part]), np.stack([fill(f) for _, _, f in part]))):
             for i, n, y in found:
                 a, b = trimmed(texts[k], words[i][0], words[i + n - 1][1])
                 if a < b and b - a <= MAX_CHARS:

@@ -74,6 +74,25 @@ def test_private_data(spark):
     assert pii.find(frame(spark, []), pii.fit(frame(spark, []))).count() == 0
 
 
+def test_entities_at_every_place_of_a_run(spark):
+    field = pii.fit(frame(spark, private()))
+    field.w[:] = 0
+    field.a[:] = 0
+    digits = lambda n, d: [pii.zlib.crc32(x.encode()) % (pii.SLOTS - 1) + 1 for x in (f"n{n}", f"d{d}")]
+    field.w[digits(4, 16)[0], 3], field.w[digits(4, 16)[1], 3] = 4, 4  # four words of sixteen digits are a card
+    field.w[:, 0] = 1e-3
+    for k in range(40):
+        text = "12 " * k + "x1 4111 1111 1111 1111 x2 " + "12 " * (40 - k)
+        a = text.index("4111")
+        assert (a, a + 19, "card") in pii.added_spans([text], [[]], field)[0], k
+    text = "a" * 100 + "1 b " + "2" + "c" * 100 + " " + "d" * 300
+    assert [text[a:b] for a, b in pii.regions(text)[0]][:3] == text.split()[:3]
+
+
+def test_regions_are_linear():
+    assert sum(map(len, pii.regions("1" + "x" * 300_000 + " 12" * 100_000))) == 100_001
+
+
 def test_redaction_of_overlapping_spans():
     assert pii.redacted("abcdef", [(1, 3, "ip"), (2, 4, "card"), (5, 6, "email")]) == "a[IP]e[EMAIL]"
 
