@@ -23,6 +23,8 @@ from sparkloom.llm.common import Scratch, table
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(~langid.held_out()))
+    if model is None:  # no labelled row to learn from
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
     rows = langid.predict(docs.select(F.struct(*docs.columns).alias("_row"), "text"), model, ("_row",))
     return rows.where(F.col("lang_pred") != langid.UNDETERMINED).select("_row.*")
 

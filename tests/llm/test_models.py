@@ -245,6 +245,13 @@ def test_token_counts(spark):
     assert tokencount.length_histogram(tokencount.token_lengths(frame(spark, [])), Scratch(spark, "t")).count() == 0
 
 
+def test_language_stage_without_labels(spark):
+    import corpus_pipeline as P
+
+    docs = frame(spark, [(1, "a clean text", None, "s", 1), (2, "été", None, "s", 1), (3, None, None, "s", 1), (4, "12 !", None, "s", 1)])
+    assert sorted(r.doc_id for r in P.language_id(spark, docs, "").collect()) == [1, 2]
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as P
 
