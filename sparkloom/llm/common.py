@@ -180,16 +180,17 @@ def real_id(c: str) -> Column:
     return F.when(F.col(c) != F.lit(NULL_ID), F.col(c))
 
 
-def connected_components(scratch: Scratch, edges: DataFrame, rounds: int = 60) -> DataFrame:
+def connected_components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """Smallest id reachable from each id, by alternating large-star and small-star steps.
 
     ``edges`` has two columns a, b of one type. Returns (id, component) for ids that
     occur in an edge between two different ids. Each round's edges are a written table;
     joins are on plain columns of written tables, so that adaptive execution can split hubs.
+    Rounds go on until the edges stay as they are; they grow with the logarithm of the ids.
     """
     e = scratch.save(edges.select("a", "b").where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
-    for _ in range(rounds):
+    while True:
         old = e
         both = e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = scratch.save(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m")), "low")
@@ -203,8 +204,6 @@ def connected_components(scratch: Scratch, edges: DataFrame, rounds: int = 60) -
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError("connected components did not settle")
     return e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
@@ -237,7 +236,7 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple
     for b in batches:
         if b.num_rows == 0:
             continue
-        cols = [b.column(b.schema.get_field_index(k)).fill_null(0).to_numpy(zero_copy_only=False) for k in keys]
+        cols = [b.column(b.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
         new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
         same = bool(rest) and all(rest[-1].column(rest[-1].schema.get_field_index(k))[-1] == b.column(b.schema.get_field_index(k))[0] for k in keys)
         first = int(new[0]) if len(new) else b.num_rows

@@ -10,18 +10,22 @@ each segment before its suffix so far, which is a stable sort by that symbol ins
 order, and updates the common prefixes of neighbours - one more where the symbols agree, with
 the minimum over what stood between them. Only the suffixes of the present column are kept,
 as equal windows stand at equal columns. Where a neighbour shares LENGTH symbols, the windows
-that begin in this column are equal, and all but the earliest go. Columns are read one after
-another; a bucket whose columns exceed MEMORY_BYTES keeps them in a temporary file of the
-task and reads it sequentially.
+that begin in this column are equal, and all but the earliest go. The columns of symbols are an
+external file, written once and read in the order of the rounds, both sequentially; a round
+holds a few numbers for each segment. The file is the task's own spill in the folder that Spark
+gives its worker for that (SPARK_LOCAL_DIRS): it is gone when the columns are read, and a task
+that runs again writes its own.
 
 Edge cases: a null text is empty; texts of under LENGTH bytes keep all; strings are judged on
 the input, overlaps count; a null doc_id counts as the smallest; rows that repeat a doc_id
-are documents one after another, in an unspecified order; an empty table gives none; extra
-columns are ignored.
+are documents one after another, in the order of a hash of their texts, so that reruns agree;
+a text may be of any length that a row can have (a task holds it a few times); an empty table
+gives none; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 import numpy as np
@@ -29,121 +33,72 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix64, real_id, table
-from .exchange import Block, answer, dec, enc, gather, n_buckets, pack, route, whole
-from .passages import HOT, Windows, covered, gram_hashes, in_parts, spans_of, unique_texts
+from .common import Scratch, real_id, table
+from .exchange import MESSAGES, Block, answer, by_bucket, dec, enc, gather, n_buckets, pack, rows_of, whole
+from .passages import HOT, Segments, covered, in_parts, repeated, rounds, spans_of, within
 
 LENGTH, K = 100, 32
-#: Text of a block; every byte takes some 64-bit numbers for a while.
-BLOCK_BYTES = 3 << 19
-MEMORY_BYTES = 64 << 20
 
 
-def _emit(length: int, k: int):
-    def emit(block: Block):
-        w = Windows(gram_hashes(block.data, k), block.off, length, k).key
-        u, n = np.unique(w, return_counts=True)
-        return [(u, [n.astype(np.uint32)])]
-
-    return emit
-
-
-def _frequency(hot: int):
-    def combine(stream, group, values, size):
-        n = np.bincount(group, values[0]) if len(group) else np.zeros(0)
-        return [np.where(n > hot, 2, n > 1).astype(np.uint8)]
-
-    return combine
+def _places(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    return block.data, block.off
 
 
 class Candidates:
-    """A block's distinct segments at repeated anchors, and its distinct windows at hot ones.
+    """A block's distinct segments at repeated anchors.
 
     Occurrences are ordered by document and place, so the first of a text is the earliest.
     """
 
-    def __init__(self, block: Block, flag: np.ndarray, length: int, k: int):
+    def __init__(self, block: Block, replies: list, length: int, k: int):
         self.length = length
-        self.windows = w = Windows(gram_hashes(block.data, k), block.off, length, k)
-        _, which = np.unique(w.key, return_inverse=True)
-        kind = flag[which] if len(w.key) else np.zeros(0, np.uint8)
-        ids = block.ids
-        run = np.flatnonzero(kind == 1)
-        run = run[np.lexsort((w.first[run], w.of[run], ids[w.of[run]], w.key[run]))]
-        raw = block.data.tobytes()
-        before, self.count, self.first = w.place[run] - w.first[run], w.count[run], w.first[run]
-        texts = [bytes((b, n)) + raw[i : i + n + length - 1] for b, n, i in zip(before.tolist(), self.count.tolist(), self.first.tolist())]
-        self.which, self.lead = unique_texts(texts)
-        self.texts = [texts[i] for i in self.lead]
-        lead = run[self.lead]
-        self.key, self.id, self.at = w.key[lead], ids[w.of[lead]], w.place[lead] - block.off[w.of[lead]]
-        hot = np.flatnonzero(np.repeat(kind == 2, w.count))
-        hot = hot[np.lexsort((w.start[hot], w.doc[hot], ids[w.doc[hot]]))]
-        self.hot_start = w.start[hot]
-        self.hot_which, self.hot_lead = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.hot_key = np.zeros((0, 2), np.uint64)
-        if len(hot):
-            both = np.stack((gram_hashes(block.data, length)[self.hot_start], gram_hashes(mix64(block.data.astype(np.uint64)), length)[self.hot_start]), axis=1)
-            order = np.lexsort((np.arange(len(hot)), both[:, 1], both[:, 0]))
-            s = both[order]
-            new = np.concatenate(([True], (s[1:] != s[:-1]).any(axis=1)))
-            self.hot_which = np.empty(len(hot), np.int64)
-            self.hot_which[order] = np.cumsum(new) - 1
-            self.hot_lead = order[new]
-            self.hot_key = s[new]
-        doc = w.doc[hot][self.hot_lead]
-        self.hot_id, self.hot_at = ids[doc], self.hot_start[self.hot_lead] - block.off[doc]
+        runs, _ = repeated(block.data, block.off, length, k, replies)
+        runs = runs.take(np.lexsort((runs.first, runs.of, block.ties[runs.of], block.ids[runs.of], runs.key)))
+        self.count, self.first, before = runs.count, runs.first, runs.place - runs.first
+        raw, found = block.data.tobytes(), Segments()
+        texts = [raw[i : i + n + length - 1] for n, i in zip(self.count.tolist(), self.first.tolist())]
+        self.which = found.add(runs.key, before.tolist(), self.count.tolist(), texts, list(range(len(texts))))
+        self.lead = np.array(found.order, np.int64)
+        self.key, self.before, self.body = runs.key[self.lead], before[self.lead], [texts[i] for i in found.order]
+        of = runs.of[self.lead]
+        self.id, self.tie, self.at = block.ids[of], block.ties[of], runs.place[self.lead] - block.off[of]
 
     def messages(self, n: int) -> list[tuple[int, bytes]]:
-        shift, edge = np.uint64(64 - int(np.log2(n))), np.arange(n + 1)
-        cut, hot = np.searchsorted(self.key >> shift, edge), np.searchsorted(self.hot_key[:, 0] >> shift, edge)
         out = []
-        for k in range(n):
-            (a, b), (c, d) = cut[k : k + 2], hot[k : k + 2]
-            if b > a or d > c:
-                texts = self.texts[a:b]
-                body = np.frombuffer(b"".join(t[2:] for t in texts), np.uint8)
-                out.append((k, enc([self.key[a:b], np.array([t[0] for t in texts], np.uint8), np.array([t[1] for t in texts], np.uint8), self.id[a:b], self.at[a:b].astype(np.int64), body, self.hot_key[c:d, 0], self.hot_key[c:d, 1].view(np.int64), self.hot_id[c:d], self.hot_at[c:d].astype(np.int64)])))
+        of, cut = by_bucket(self.key, n)
+        for k, a, b in zip(of.tolist(), cut.tolist(), cut[1:].tolist()):
+            out.append((k, enc([self.key[a:b], self.before[a:b].astype(np.uint8), self.count[self.lead[a:b]].astype(np.uint8), self.id[a:b], self.tie[a:b], self.at[a:b].astype(np.int64), np.frombuffer(b"".join(self.body[a:b]), np.uint8)])))
         return out
 
-    def gone(self, bits: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    def gone(self, bits: np.ndarray) -> np.ndarray:
         """Starts of the windows that an earlier one equals."""
         per = self.count[self.lead]
         base = np.concatenate(([0], np.cumsum(per)))[:-1]
-        within = np.arange(self.count.sum()) - np.repeat(np.concatenate(([0], np.cumsum(self.count)))[:-1], self.count)
         earliest = np.zeros(len(self.which), bool)
         earliest[self.lead] = True
         out = np.repeat(~earliest, self.count)
         if len(out):
-            out |= bits[np.repeat(base[self.which], self.count) + within].astype(bool)
-        start = np.repeat(self.first, self.count) + within
-        if len(self.hot_start):
-            earliest = np.zeros(len(self.hot_start), bool)
-            earliest[self.hot_lead] = True
-            return np.concatenate((start[out], self.hot_start[~earliest | hot[self.hot_which].astype(bool)]))
-        return start[out]
+            out |= bits[np.repeat(base[self.which], self.count) + within(self.count)].astype(bool)
+        return (np.repeat(self.first, self.count) + within(self.count))[out]
 
 
-def columns(before: np.ndarray, size: np.ndarray, body: np.ndarray, left: int, right: int, memory: int = MEMORY_BYTES):
+def spill_folder() -> str | None:
+    """Where Spark lets a worker of this executor write what is only its own."""
+    return next((d for d in os.environ.get("SPARK_LOCAL_DIRS", "").split(",") if d and os.path.isdir(d)), None)
+
+
+def columns(before: np.ndarray, size: np.ndarray, body: np.ndarray, left: int, right: int):
     """The symbols (byte + 1, 0 outside) of all segments in each column, from the last to the first."""
     n, first = len(before), np.concatenate(([0], np.cumsum(size)))[:-1]
-    width = left + right
-    file = None
-    if n * width * 2 > memory:
-        file = tempfile.TemporaryFile()
-        table = np.memmap(file, np.uint16, "w+", shape=(width, n))
-    else:
-        table = np.empty((width, n), np.uint16)
     offset = before.astype(np.int64) - left
-    for c in range(width):
-        place = offset + c
-        inside = (place >= 0) & (place < size)
-        table[c] = np.where(inside, body[np.where(inside, first + place, 0)].astype(np.uint16) + 1, 0)
-    for c in range(width - 1, -1, -1):
-        yield c, np.asarray(table[c])
-    if file is not None:
-        del table
-        file.close()
+    with tempfile.TemporaryFile(dir=spill_folder()) as file:
+        for c in range(left + right - 1, -1, -1):
+            place = offset + c
+            inside = (place >= 0) & (place < size)
+            file.write(np.where(inside, body[np.where(inside, first + place, 0)].astype(np.uint16) + 1, 0).astype(np.uint16).tobytes())
+        file.seek(0)
+        for c in range(left + right - 1, -1, -1):
+            yield c, np.frombuffer(file.read(2 * n), np.uint16)
 
 
 def collection(group: np.ndarray, before: np.ndarray, size: np.ndarray, body: np.ndarray, length: int, left: int):
@@ -190,8 +145,8 @@ def collection(group: np.ndarray, before: np.ndarray, size: np.ndarray, body: np
         yield c, order, shared
 
 
-def decide(key: np.ndarray, before: np.ndarray, count: np.ndarray, doc: np.ndarray, at: np.ndarray, body: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """For every window of every segment, in order: whether an earlier one equals it."""
+def decide(key: np.ndarray, before: np.ndarray, count: np.ndarray, rank: np.ndarray, body: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """For every window of every segment, in order: whether one of a lower ``rank`` equals it."""
     n = len(key)
     if n == 0:
         return np.zeros(0, bool)
@@ -199,8 +154,6 @@ def decide(key: np.ndarray, before: np.ndarray, count: np.ndarray, doc: np.ndarr
     before = before.astype(np.int64)
     _, group = np.unique(key, return_inverse=True)
     left = int(before.max())
-    rank = np.empty(n, np.int64)
-    rank[np.lexsort((at, doc))] = np.arange(n)
     out = np.zeros((n, left + 1), bool)
     for c, order, shared in collection(group, before, size, body, length, left):
         j = left - c  # symbols from this column to the anchor
@@ -214,30 +167,28 @@ def decide(key: np.ndarray, before: np.ndarray, count: np.ndarray, doc: np.ndarr
         least = np.minimum.reduceat(rank[order], start)[np.cumsum(new) - 1]
         out[order, j] = (rank[order] != least) & here[order]
     row = np.repeat(np.arange(n), count)
-    within = np.arange(len(row)) - np.repeat(np.concatenate(([0], np.cumsum(count.astype(np.int64))))[:-1], count)
-    return out[row, before[row] - within]
-
-
-def decide_hot(k1: np.ndarray, k2: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether an earlier window has the same 128 bits."""
-    if len(k1) == 0:
-        return np.zeros(0, bool)
-    order = np.lexsort((at, doc, k2, k1))
-    a, b = k1[order], k2[order]
-    out = np.empty(len(k1), bool)
-    out[order] = np.concatenate(([False], (a[1:] == a[:-1]) & (b[1:] == b[:-1])))
-    return out
+    return out[row, before[row] - within(count.astype(np.int64))]
 
 
 def _reply(length: int):
-    def reply(messages: list[bytes]) -> list[bytes]:
-        parts = [dec(m) for m in messages]
-        cat = [np.concatenate([p[k] for p in parts]) for k in range(10)]
-        size = cat[2].astype(np.int64) + length - 1
-        bits = in_parts(cat[0], cat[2], size, cat[5], lambda rows, body: decide(*(c[rows] for c in cat[:5]), body, length=length))
-        hot = decide_hot(*cat[6:])
-        ends, hot_ends = np.cumsum([int(p[2].sum(dtype=np.int64)) for p in parts]), np.cumsum([len(p[6]) for p in parts])
-        return [enc([x.astype(np.uint8), y.astype(np.uint8)]) for x, y in zip(np.split(bits, ends[:-1]), np.split(hot, hot_ends[:-1]))]
+    def reply(blocks: list[int], messages: list[bytes]) -> list[bytes]:
+        found, mine, order, counts = Segments(), [], [], []
+        for block, message in zip(blocks, messages):
+            key, before, count, ids, ties, at, body = dec(message)
+            raw, end = body.tobytes(), np.cumsum(count.astype(np.int64) + length - 1)
+            own = [(i, t, block, a) for i, t, a in zip(ids.tolist(), ties.tolist(), at.tolist())]
+            mine.append(found.add(key, before.tolist(), count.tolist(), [raw[e - n - length + 1 : e] for n, e in zip(count.tolist(), end.tolist())], own))
+            order.append(own)
+            counts.append(count.astype(np.int64))
+        key, before, count, size, body = found.arrays()
+        rank = np.empty(len(key), np.int64)
+        rank[np.lexsort([np.array(x) for x in zip(*((a, b, t, i) for i, t, b, a in found.order))])] = np.arange(len(key))
+        bits = in_parts(key, count, size, body, lambda rows, part: decide(key[rows], before[rows], count[rows], rank[rows], part, length=length))
+        base, out = np.cumsum(count, dtype=np.int64) - count, []
+        for which, own, n in zip(mine, order, counts):
+            lead = np.fromiter((found.order[k] == o for k, o in zip(which.tolist(), own)), bool, len(own))
+            out.append(enc([(~np.repeat(lead, n) | bits[np.repeat(base[which], n) + within(n)]).astype(np.uint8)]))
+        return out
 
     return reply
 
@@ -246,31 +197,49 @@ def dedup_bytes(docs: DataFrame, scratch: Scratch, length: int = LENGTH, k: int
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; kept are the bytes left."""
     if not k < length <= 255:
         raise ValueError("the anchor must be shorter than the string, and this at most 255 bytes")
-    blocks = pack(docs, scratch, block_bytes=BLOCK_BYTES)
+    blocks = pack(docs, scratch)
     n = n_buckets(blocks.count())
-    flags, _ = route(blocks, scratch, _emit(length, k), _frequency(hot), buckets=n)
+    flags = rounds(blocks, scratch, _places, length, k, hot, n, False)
 
-    def ask(block_id, block, replies):
-        rows = Candidates(block, whole(replies[0], [np.uint8])[0], length, k).messages(2 * n)
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([block_id] * len(rows)), pa.array([b for b, _ in rows], pa.int32()), pa.array([m for _, m in rows], pa.binary())], ["block", "bucket", "message"])
+    def ask(number, block, replies):
+        yield from rows_of(number, Candidates(block, replies, length, k).messages(4 * n))
 
-    told = answer(gather(blocks, [flags], scratch, ask, "block long, bucket int, message binary"), scratch, _reply(length))
+    told = answer(gather(blocks, flags, scratch, ask, MESSAGES), scratch, _reply(length))
 
     def result(_, block, replies):
-        found = Candidates(block, whole(replies[0], [np.uint8])[0], length, k)
-        mask = covered(found.gone(*whole(replies[1], [np.uint8, np.uint8])), length, len(block.data))
-        sums = np.concatenate(([0], np.cumsum(mask)))
+        found = Candidates(block, replies[:-1], length, k)
+        mask = covered(found.gone(whole(replies[-1], [np.uint8])[0]), length, len(block.data))
+        gone = np.diff(np.concatenate(([0], np.cumsum(mask, dtype=np.int64)))[block.off])
+        size = np.diff(block.off)
         left = block.data[~mask].tobytes()
-        ends = (block.off - sums[block.off]).tolist()
+        ends = np.concatenate(([0], np.cumsum(size - gone))).tolist()
         kept = [left[a:b] for a, b in zip(ends, ends[1:])]
-        cols = [pa.array(block.ids), pa.array(np.diff(block.off)), pa.array(np.diff(sums[block.off])), pa.array(spans_of(mask, block.off)), pa.array(kept, pa.binary())]
+        cols = [pa.array(block.ids), pa.array(size), pa.array(gone), pa.array(spans_of(mask, block.off)), pa.array(kept, pa.binary())]
         yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    out = gather(blocks, [flags, told], scratch, result, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    out = gather(blocks, [*flags, told], scratch, result, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.withColumn("doc_id", real_id("doc_id"))
 
 
 def op8_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
     out = dedup_bytes(table(spark, sf_dir, "documents"), Scratch(spark, "op8"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Brute force over all strings, as lower-case hex. For tables without repeated or null ids.
+ORACLE = r"""
+with d as (select doc_id, lower(hex(encode(coalesce(text, '')))) as x from documents),
+p as (select doc_id, unnest(range(0, greatest(0, strlen(x) // 2 - 99))) as i, x from d),
+g as (select doc_id, i, md5(substr(x, 2 * i + 1, 200)) as k from p),
+f as (select doc_id, i, row_number() over (partition by k order by doc_id, i) > 1 as gone from g),
+s as (select doc_id, i as a, i + 100 as b from f where gone),
+t as (select *, max(b) over (partition by doc_id order by a rows between unbounded preceding and 1 preceding) as seen from s),
+u as (select *, sum(case when seen is null or a > seen then 1 else 0 end) over (partition by doc_id order by a) as span from t),
+v as (select doc_id, span, min(a) as a, max(b) as b from u group by all),
+w as (select doc_id, count(*) as n_spans, sum(b - a) as n_removed, list(struct_pack(a := a, b := b) order by a) as l from v group by doc_id),
+k as (select d.doc_id, strlen(x) // 2 as n, coalesce(n_spans, 0) as n_spans, coalesce(n_removed, 0) as n_removed,
+        case when l is null then x else array_to_string(list_transform(range(1, len(l) + 2), lambda j: substr(x, case when j = 1 then 1 else 2 * l[j - 1].b + 1 end,
+          (case when j > len(l) then strlen(x) // 2 else l[j].a end - case when j = 1 then 0 else l[j - 1].b end) * 2)), '') end as y
+      from d left join w using (doc_id))
+select doc_id, n::bigint as n_bytes, n_removed::bigint as n_removed, n_spans::bigint as n_spans, sha256(unhex(y)) as kept_sha256 from k
+"""

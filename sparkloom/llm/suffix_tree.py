@@ -1,18 +1,21 @@
 """Substring dedup over words by prefix-partitioned suffix trees.
 
 A window of WINDOW words is removed where its words also start in a document with a smaller
-id. Suffixes are split by prefix into groups of memory size: the prefix is the first words
-at a suffix's anchor (K words, chosen in each window as passages.py says), many rare prefixes
-sharing a bucket, and it grows to the whole window where a prefix is too frequent. In each
+id. Suffixes are split by prefix into groups of memory size: the prefix is the words at a
+suffix's anchor (K words, chosen in each window as passages.py says), many rare prefixes
+sharing a bucket, and it grows where it is too frequent, up to the whole window. In each
 group the suffixes are sorted, which with their common prefixes is the group's subtree: the
 internal node at depth WINDOW - j above a suffix, split by the j words to its left, holds
 exactly the occurrences of one window. The smallest document of each goes back as a bit.
 
 Suffixes of repeated prefixes only are sent: a prefix seen in one document has no repeat.
+Words of a group are numbered by a hash and then compared byte by byte with the first word of
+their number; should a hash join different words, they are numbered by content instead.
 
 Edge cases: a null text has no words; a null doc_id counts as the smallest id; rows that
 repeat a doc_id are the same document, so they remove nothing from each other; documents of
-fewer words than a window keep all; an empty table gives none; extra columns are ignored.
+fewer words than a window keep all; a text may be of any length that a row can have (a task
+holds it a few times); an empty table gives none; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,99 +26,97 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, real_id, table, word_bounds, word_hashes
-from .exchange import Block, answer, dec, enc, gather, n_buckets, pack, route, whole
-from .passages import HOT, Windows, covered, gram_hashes, in_parts, unique_texts
+from .exchange import MESSAGES, Block, answer, by_bucket, dec, enc, gather, n_buckets, pack, rows_of, whole
+from .passages import HOT, Segments, covered, in_parts, repeated, rounds, within
 
 WINDOW, K = 13, 5
+#: Bytes of text whose words are found at once, but for a longer word.
+SLICE_BYTES = 1 << 20
+
+
+def word_places(data: np.ndarray, off: np.ndarray, step: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the words of a block, and the n+1 bounds of its documents' words.
+
+    Goes through the bytes in slices that end between words, so that a document may be of any length.
+    """
+    starts, ends, hashes, lo = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+    while lo < len(data):
+        hi = min(lo + step, len(data))
+        while hi < len(data):
+            tail = data[max(lo, hi - step) : hi]
+            blank = np.flatnonzero((tail == 32) | ((tail >= 9) & (tail <= 13)))
+            if len(blank):
+                hi = hi - len(tail) + int(blank[-1]) + 1
+                break
+            hi = min(hi + step, len(data))
+        inner = off[(off > lo) & (off < hi)] - lo
+        part = data[lo:hi]
+        a, b, _ = word_bounds(part, np.concatenate(([0], inner, [hi - lo])))
+        starts.append(a + lo)
+        ends.append(b + lo)
+        hashes.append(word_hashes(part, a, b))
+        lo = hi
+    start = np.concatenate(starts)
+    return start, np.concatenate(ends), np.concatenate(hashes), np.searchsorted(start, off)
 
 
 class Words:
-    """The words of a block and its windows."""
+    """The words of a block."""
 
-    def __init__(self, block: Block, window: int, k: int):
-        self.block, self.window = block, window
-        self.starts, self.ends, doc = word_bounds(block.data, block.off)
-        self.hash = word_hashes(block.data, self.starts, self.ends)
-        self.bounds = np.searchsorted(doc, np.arange(len(block.ids) + 1))
-        self.windows = Windows(gram_hashes(self.hash, k), self.bounds, window, k)
+    def __init__(self, block: Block, step: int = SLICE_BYTES):
+        self.block = block
+        self.starts, self.ends, self.hash, self.bounds = word_places(block.data, block.off, step)
 
     def text(self, i: int, n: int) -> bytes:
         """n words from word i, one space between them."""
         return b" ".join(self.block.data[self.starts[i] : self.ends[i + n - 1]].tobytes().split())
 
 
-def _emit(window: int, k: int):
-    def emit(block: Block):
-        w = Words(block, window, k).windows
-        order = np.lexsort((block.ids[w.of], w.key))
-        key, doc = w.key[order], block.ids[w.of][order]
-        new = np.concatenate(([True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))) if len(key) else np.zeros(0, bool)
-        u, n = np.unique(key[new], return_counts=True)
-        return [(u, [n.astype(np.uint32)])]
-
-    return emit
-
-
-def _frequency(hot: int):
-    def combine(stream, group, values, size):
-        n = np.bincount(group, values[0]) if len(group) else np.zeros(0)
-        return [np.where(n > hot, 2, n > 1).astype(np.uint8)]
-
-    return combine
+def _places(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    words = Words(block)
+    return words.hash, words.bounds
 
 
 class Candidates:
-    """What a block asks about: its distinct segments, and its distinct windows at hot anchors."""
+    """What a block asks about: its distinct segments at repeated anchors."""
 
-    def __init__(self, words: Words, flag: np.ndarray):
-        self.words, w = words, words.windows
-        _, which = np.unique(w.key, return_inverse=True)
-        kind = flag[which] if len(w.key) else np.zeros(0, np.uint8)
+    def __init__(self, words: Words, replies: list, window: int, k: int):
         ids = words.block.ids
-        run = np.flatnonzero(kind == 1)
-        run = run[np.lexsort((w.first[run], ids[w.of[run]], w.key[run]))]
-        self.run, self.before = run, w.place[run] - w.first[run]
-        texts = [bytes((b, n)) + words.text(i, n + words.window - 1) for b, n, i in zip(self.before.tolist(), w.count[run].tolist(), w.first[run].tolist())]
-        self.which, self.lead = unique_texts(texts)
-        self.texts = [texts[i] for i in self.lead]
-        self.key, self.id = w.key[run][self.lead], ids[w.of[run]][self.lead]
-        hot = np.flatnonzero(np.repeat(kind == 2, w.count))
-        self.hot_start, self.hot_doc = w.start[hot], ids[w.doc[hot]]
-        if len(hot):
-            h1, h2 = gram_hashes(words.hash, words.window), gram_hashes(words.hash * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1), words.window)
-            both = np.stack((h1[self.hot_start], h2[self.hot_start]), axis=1)
-            order = np.lexsort((self.hot_doc, both[:, 1], both[:, 0]))
-            s = both[order]
-            new = np.concatenate(([True], (s[1:] != s[:-1]).any(axis=1)))
-            self.hot_which = np.empty(len(hot), np.int64)
-            self.hot_which[order] = np.cumsum(new) - 1
-            self.hot_key, self.hot_id = s[new], self.hot_doc[order][new]
-        else:
-            self.hot_which, self.hot_key, self.hot_id = np.zeros(0, np.int64), np.zeros((0, 2), np.uint64), np.zeros(0, np.int64)
+        runs, _ = repeated(words.hash, words.bounds, window, k, replies)
+        runs = runs.take(np.lexsort((runs.first, ids[runs.of], runs.key)))
+        self.count, self.first, before = runs.count, runs.first, runs.place - runs.first
+        texts = [words.text(i, n + window - 1) for n, i in zip(self.count.tolist(), self.first.tolist())]
+        found, self.doc = Segments(), ids[runs.of]
+        self.which = found.add(runs.key, before.tolist(), self.count.tolist(), texts, list(range(len(texts))))
+        self.lead = np.array(found.order, np.int64)
+        self.key, self.before, self.body, self.id = runs.key[self.lead], before[self.lead], [texts[i] for i in found.order], self.doc[self.lead]
 
     def messages(self, n: int) -> list[tuple[int, bytes]]:
-        shift, edge = np.uint64(64 - int(np.log2(n))), np.arange(n + 1)
-        cut, hot = np.searchsorted(self.key >> shift, edge), np.searchsorted(self.hot_key[:, 0] >> shift, edge)
         out = []
-        for k in range(n):
-            (a, b), (c, d) = cut[k : k + 2], hot[k : k + 2]
-            if b > a or d > c:
-                texts = self.texts[a:b]
-                body = np.frombuffer(b"".join(t[2:] for t in texts), np.uint8)
-                out.append((k, enc([self.key[a:b], np.array([t[0] for t in texts], np.uint8), np.array([t[1] for t in texts], np.uint8), self.id[a:b], np.array([len(t) - 2 for t in texts], np.uint32), body, self.hot_key[c:d, 0], self.hot_key[c:d, 1].astype(np.int64, copy=False).view(np.int64), self.hot_id[c:d]])))
+        of, cut = by_bucket(self.key, n)
+        for k, a, b in zip(of.tolist(), cut.tolist(), cut[1:].tolist()):
+            body = self.body[a:b]
+            out.append((k, enc([self.key[a:b], self.before[a:b].astype(np.uint8), self.count[self.lead[a:b]].astype(np.uint8), self.id[a:b], np.fromiter(map(len, body), np.uint32, len(body)), np.frombuffer(b"".join(body), np.uint8)])))
         return out
 
+    def gone(self, bits: np.ndarray) -> np.ndarray:
+        """Starts of the windows that go."""
+        base = np.concatenate(([0], np.cumsum(self.count[self.lead])))[:-1]
+        out = np.repeat(self.doc > self.id[self.which], self.count) if len(self.count) else np.zeros(0, bool)
+        if len(out):
+            out |= bits[np.repeat(base[self.which], self.count) + within(self.count)].astype(bool)
+        return (np.repeat(self.first, self.count) + within(self.count))[out]
 
-def decide_hot(k1: np.ndarray, k2: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Whether an equal window has a smaller ``first``."""
-    if len(k1) == 0:
-        return np.zeros(0, bool)
-    order = np.lexsort((first, k2, k1))
-    a, b, f = k1[order], k2[order], first[order]
-    new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-    out = np.empty(len(k1), bool)
-    out[order] = f > f[np.flatnonzero(new)][np.cumsum(new) - 1]
-    return out
+
+def numbered(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for every word, equal exactly for equal words."""
+    _, first, word = np.unique(word_hashes(body, starts, ends), return_index=True, return_inverse=True)
+    size, like = ends - starts, first[word]
+    if np.array_equal(size, size[like]) and np.array_equal(body[np.repeat(starts, size) + within(size)], body[np.repeat(starts[like], size) + within(size)]):
+        return word
+    seen: dict[bytes, int] = {}
+    raw = body.tobytes()
+    return np.fromiter((seen.setdefault(raw[a:b], len(seen)) for a, b in zip(starts.tolist(), ends.tolist())), np.int64, len(starts))
 
 
 def subtrees(key: np.ndarray, before: np.ndarray, count: np.ndarray, doc: np.ndarray, size: np.ndarray, body: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -129,7 +130,7 @@ def subtrees(key: np.ndarray, before: np.ndarray, count: np.ndarray, doc: np.nda
         return np.zeros(0, bool)
     off = np.concatenate(([0], np.cumsum(size.astype(np.int64))))
     starts, ends, _ = word_bounds(body, off)
-    _, word = np.unique(word_hashes(body, starts, ends), return_inverse=True)
+    word = numbered(body, starts, ends)
     words = count.astype(np.int64) + window - 1
     first = np.concatenate(([0], np.cumsum(words)))[:-1]
     anchor, after = first + before, words - before
@@ -162,57 +163,41 @@ def subtrees(key: np.ndarray, before: np.ndarray, count: np.ndarray, doc: np.nda
         out[who[group], j] = d > d[np.flatnonzero(new)][np.cumsum(new) - 1]
     # windows of a segment start j = before, before - 1, ... words left of its anchor
     row = np.repeat(np.arange(n), count)
-    at = np.arange(len(row)) - np.repeat(np.concatenate(([0], np.cumsum(count.astype(np.int64))))[:-1], count)
-    return out[row, before[row].astype(np.int64) - at]
+    return out[row, before[row].astype(np.int64) - within(count.astype(np.int64))]
 
 
 def _reply(window: int):
-    def reply(messages: list[bytes]) -> list[bytes]:
-        parts = [dec(m) for m in messages]
-        cat = [np.concatenate([p[k] for p in parts]) for k in range(9)]
-        bits = in_parts(cat[0], cat[2], cat[4], cat[5], lambda rows, body: subtrees(*(c[rows] for c in cat[:5]), body, window=window))
-        hot = decide_hot(cat[6], cat[7], cat[8])
-        ends, hot_ends = np.cumsum([int(p[2].sum(dtype=np.int64)) for p in parts]), np.cumsum([len(p[6]) for p in parts])
-        return [enc([x.astype(np.uint8), y.astype(np.uint8)]) for x, y in zip(np.split(bits, ends[:-1]), np.split(hot, hot_ends[:-1]))]
+    def reply(blocks: list[int], messages: list[bytes]) -> list[bytes]:
+        found, mine, docs, counts = Segments(), [], [], []
+        for message in messages:
+            key, before, count, ids, size, body = dec(message)
+            raw, end = body.tobytes(), np.cumsum(size, dtype=np.int64).tolist()
+            mine.append(found.add(key, before.tolist(), count.tolist(), [raw[e - n : e] for n, e in zip(size.tolist(), end)], ids.tolist()))
+            docs.append(ids)
+            counts.append(count.astype(np.int64))
+        key, before, count, size, body = found.arrays()
+        doc = np.array(found.order, np.int64)
+        bits = in_parts(key, count, size, body, lambda rows, part: subtrees(key[rows], before[rows], count[rows], doc[rows], size[rows], part, window=window))
+        base = np.cumsum(count, dtype=np.int64) - count
+        return [enc([(np.repeat(own > doc[which], n) | bits[np.repeat(base[which], n) + within(n)]).astype(np.uint8)]) for which, own, n in zip(mine, docs, counts)]
 
     return reply
 
 
-def removed_windows(c: Candidates, bits: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """Starts of the windows that go."""
-    w, ids = c.words.windows, c.words.block.ids
-    count = w.count[c.run]
-    lead_count = count[c.lead]
-    base = np.concatenate(([0], np.cumsum(lead_count)))[:-1]
-    at = np.arange(count.sum()) - np.repeat(np.concatenate(([0], np.cumsum(count)))[:-1], count)
-    gone = bits[np.repeat(base[c.which], count) + at].astype(bool) if len(count) else np.zeros(0, bool)
-    later = ids[w.of[c.run]] > c.id[c.which] if len(count) else np.zeros(0, bool)
-    gone |= np.repeat(later, count)
-    start = np.repeat(w.first[c.run], count) + at
-    if len(c.hot_start):
-        more = hot[c.hot_which].astype(bool) | (c.hot_doc > c.hot_id[c.hot_which])
-        return np.concatenate((start[gone], c.hot_start[more]))
-    return start[gone]
-
-
 def dedup_words(docs: DataFrame, scratch: Scratch, window: int = WINDOW, k: int = K, hot: int = HOT) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row; kept are the words left, one space between."""
     blocks = pack(docs, scratch)
     n = n_buckets(blocks.count())
-    flags, _ = route(blocks, scratch, _emit(window, k), _frequency(hot), buckets=n)
+    flags = rounds(blocks, scratch, _places, window, k, hot, n, True)
 
-    def ask(block_id, block, replies):
-        rows = Candidates(Words(block, window, k), whole(replies[0], [np.uint8])[0]).messages(2 * n)
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([block_id] * len(rows)), pa.array([b for b, _ in rows], pa.int32()), pa.array([m for _, m in rows], pa.binary())], ["block", "bucket", "message"])
+    def ask(number, block, replies):
+        yield from rows_of(number, Candidates(Words(block), replies, window, k).messages(4 * n))
 
-    asked = gather(blocks, [flags], scratch, ask, "block long, bucket int, message binary")
-    told = answer(asked, scratch, _reply(window))
+    told = answer(gather(blocks, flags, scratch, ask, MESSAGES), scratch, _reply(window))
 
     def result(_, block, replies):
-        words = Words(block, window, k)
-        gone = removed_windows(Candidates(words, whole(replies[0], [np.uint8])[0]), *whole(replies[1], [np.uint8, np.uint8]))
-        mask = covered(gone, window, len(words.starts))
+        words = Words(block)
+        mask = covered(Candidates(words, replies[:-1], window, k).gone(whole(replies[-1], [np.uint8])[0]), window, len(words.starts))
         sums = np.concatenate(([0], np.cumsum(mask)))
         kept = []
         for a, b in zip(words.bounds, words.bounds[1:]):
@@ -222,7 +207,7 @@ def dedup_words(docs: DataFrame, scratch: Scratch, window: int = WINDOW, k: int
             kept.append(b" ".join(left))
         yield pa.RecordBatch.from_arrays([pa.array(block.ids), pa.array(np.diff(words.bounds)), pa.array(sums[words.bounds[1:]] - sums[words.bounds[:-1]]), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    out = gather(blocks, [flags, told], scratch, result, "doc_id long, n_words long, n_removed long, kept string")
+    out = gather(blocks, [*flags, told], scratch, result, "doc_id long, n_words long, n_removed long, kept string")
     return out.withColumn("doc_id", real_id("doc_id"))
 
 

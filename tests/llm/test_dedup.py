@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sparkloom.llm import lattice, simhash, suffix_array, suffix_tree
+from sparkloom.llm import lattice, passages, simhash, suffix_array, suffix_tree
 from sparkloom.llm.common import Scratch, connected_components
 
 from .fixtures import SCHEMA, documents, frame
@@ -86,14 +86,22 @@ def vectors():
             for k in range(int(rng.integers(1, 6))):
                 out.append(((v + (0.0 if k == 1 else 0.04) * rng.normal(size=16)).astype(np.float32).tolist(), label))
     out += [out[3], out[3], (None, 1), ([], 1), ([0.0] * 16, 1), ([1.0, None] * 8, 1), ([float("nan")] * 16, 1), ([float("inf")] * 16, 1), ([1.0] * 8, 1), ([2.0] * 8, 1)]
-    return [(i * 7 % 1009, *v) for i, v in enumerate(out)]
+    rows = [(i * 7 % 1009, *v) for i, v in enumerate(out)]
+    # ids that repeat, or are null, over different vectors
+    near = lambda k: ([1.0, 0.0, 0.01 * k, *[0.0] * 13], 2)
+    return rows + [(5000, *near(0)), (5000, *near(1)), (5001, *near(2)), (5002, *near(9)), (5002, [0.0, 1.0, *[0.0] * 14], 2), (None, *near(3)), (None, [0.0, 0.0, 0.0, 1.0, *[0.0] * 12], 2), (None, *near(0))]
+
+
+def number(i):
+    return -math.inf if i is None else i
 
 
 @pytest.mark.parametrize("chunk", [1000, 3])
 def test_lattice(spark, chunk):
     rows = vectors()
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("low", F.lit("clash"))
-    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in lattice.near_vectors(df, Scratch(spark, "t"), chunk=chunk).collect()}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("low", F.lit("clash")).withColumn("cls", F.lit("clash"))
+    key = lambda r: (number(r[0]), r[1], number(r[2]))
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.near_vectors(df, Scratch(spark, "t"), chunk=chunk).collect()), key=key)
     good = lambda e, label: e and label is not None and all(x is not None and math.isfinite(x) for x in e) and any(e)
     unit = [np.array(e, np.float64) / np.linalg.norm(np.array(e, np.float64)) if good(e, label) else None for _, e, label in rows]
     links = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if unit[a] is not None and unit[b] is not None and rows[a][2] == rows[b][2] and len(unit[a]) == len(unit[b]) and float(unit[a] @ unit[b]) >= 0.98]
@@ -103,23 +111,33 @@ def test_lattice(spark, chunk):
         n[b] += 1
     low = {}
     for r, c in zip(rows, of):
-        low[c] = min(low.get(c, math.inf), r[0])
-    want = {r[0]: (k, low[c], r[0] == low[c]) for r, c, k in zip(rows, of, n)}
-    assert len(links) > 50 and sum(got[k] == want[k] for k in want) >= 0.98 * len(want)
-    assert all(got[k][0] <= want[k][0] for k in want)
+        low[c] = min(low.get(c, math.inf), number(r[0]))
+    want = sorted(((r[0], k, None if low[c] == -math.inf else low[c], number(r[0]) == low[c]) for r, c, k in zip(rows, of, n)), key=key)
+    assert len(links) > 50 and got == want
+
 
+def test_labels_of_any_kind(spark):
+    rows = [(1, [1.0, 0.0], "a"), (2, [1.0, 0.01], "a"), (3, [1.0, 0.0], "b"), (4, [1.0, 0.0], None)]
+    out = lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"), Scratch(spark, "t"))
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out.collect()) == [(1, 1, 1), (2, 1, 1), (3, 0, 3), (4, 0, 4)]
 
-def test_lattice_recall_at_the_threshold():
+
+@pytest.mark.parametrize("dim", [64, 384, 768])
+def test_lattice_recall_at_the_threshold(dim):
     rng = np.random.default_rng(0)
-    a = rng.normal(size=(3000, 64))
+    a = rng.normal(size=(3000, dim))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     b = rng.normal(size=a.shape)
     b -= (b * a).sum(axis=1, keepdims=True) * a
     b = 0.98 * a + math.sqrt(1 - 0.98**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
     x, y = lattice.cells(a), lattice.cells(b)
-    met = ((x[:, :, :1] == y).any(axis=2) | (y[:, :, :1] == x).any(axis=2)).any(axis=1)
-    assert met.mean() > 0.995
-    p = rng.normal(size=(500, 8)) * 2
+    meet = lambda x, y: ((x[:, :, :1] == y).any(axis=2) | (y[:, :, :1] == x).any(axis=2)).any(axis=1).mean()
+    assert meet(x, y) > 0.998
+    assert np.mean([meet(x, np.roll(x, k, axis=0)) for k in range(1, 20)]) < 0.004
+
+
+def test_nearest_points():
+    p = np.random.default_rng(0).normal(size=(500, 8)) * 2
     near = lattice.nearest_e8(p)
     assert np.all(((near[:, None] + lattice.SHORTEST - p[:, None]) ** 2).sum(axis=2) >= ((near - p) ** 2).sum(axis=1)[:, None] - 1e-9)
 
@@ -137,26 +155,26 @@ def low_first(rows):
     return sorted(rows, key=lambda r: -math.inf if r[0] is None else r[0])
 
 
-@pytest.mark.parametrize("hot", [10**6, 2])
+KEY = lambda r: (r[0] is not None, r)
+
+
+@pytest.mark.parametrize("hot", [10**6, 40, 2])
 def test_bytes(spark, hot):
     rows = documents() + [(300, "x" + "ab" * 200, "", "", 1), (301, "ab" * 90 + "y", "", "", 1), (302, "é" * 60 + "z", "", "", 1)]
     out = suffix_array.dedup_bytes(frame(spark, rows).withColumn("block", F.lit(1)), Scratch(spark, "t"), hot=hot).collect()
-    seen, want = set(), []
-    for i, text, *_ in low_first(rows):
-        x = (text or "").encode()
-        gone = np.zeros(len(x), bool)
-        for k in range(len(x) - 99):
-            if x[k : k + 100] in seen:
-                gone[k : k + 100] = True
-            seen.add(x[k : k + 100])
-        spans = int((gone & ~np.concatenate(([False], gone[:-1]))).sum()) if len(x) else 0
-        want.append((i, len(x), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(x, np.uint8)[~gone].tobytes()).hexdigest()))
-    key = lambda r: (r[0] is not None, r)
     got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in out]
-    assert sorted(got, key=key) == sorted(want, key=key)
+    assert sorted(got, key=KEY) == sorted(plain_bytes(rows), key=KEY)
+
 
+def test_rows_of_one_id_are_ordered(spark):
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("abcdefgh"), 150)) for _ in range(3)]
+    rows = [(7, a + b, "en", "s", 1) for a, b in itertools.permutations(texts, 2)] + [(7, texts[0] + texts[1], "en", "s", 1), (None, texts[2], "en", "s", 1)]
+    runs = [sorted((r.n_removed, bytes(r.kept)) for r in suffix_array.dedup_bytes(frame(spark, rows[::step]).repartition(n), Scratch(spark, "t")).collect()) for step, n in ((1, 1), (-1, 3), (1, 4))]
+    assert runs[0] == runs[1] == runs[2] and sum(n for n, _ in runs[0]) > 1000
 
-@pytest.mark.parametrize("hot", [10**6, 2])
+
+@pytest.mark.parametrize("hot", [10**6, 20, 2])
 def test_words(spark, hot):
     rows = documents()
     out = suffix_tree.dedup_words(frame(spark, rows).withColumn("kept", F.lit(1)), Scratch(spark, "t"), hot=hot).collect()
@@ -174,9 +192,76 @@ def test_words(spark, hot):
     assert sum(r.n_removed for r in out) > 100
 
 
-def test_columns_from_a_file():
+def test_columns_are_read_from_a_file():
     rng = np.random.default_rng(2)
     size, before = rng.integers(100, 160, 50), rng.integers(0, 60, 50)
-    body = rng.integers(0, 255, size.sum()).astype(np.uint8)
-    a, b = (list(suffix_array.columns(before, size, body, 60, 160, memory)) for memory in (0, 1 << 30))
-    assert all(c == d and (x == y).all() for (c, x), (d, y) in zip(a, b, strict=True))
+    body, first = rng.integers(0, 255, size.sum()).astype(np.uint8), np.cumsum(size) - size
+    for c, symbols in suffix_array.columns(before, size, body, 60, 160):
+        at = [c - 60 + b for b in before]
+        assert symbols.tolist() == [int(body[f + i]) + 1 if 0 <= i < n else 0 for f, i, n in zip(first, at, size)]
+
+
+def plain_bytes(rows):
+    seen, want = set(), []
+    for i, text, *_ in low_first(rows):
+        x = (text or "").encode()
+        gone = np.zeros(len(x), bool)
+        for k in range(len(x) - 99):
+            if x[k : k + 100] in seen:
+                gone[k : k + 100] = True
+            seen.add(x[k : k + 100])
+        spans = int((gone & ~np.concatenate(([False], gone[:-1]))).sum()) if len(x) else 0
+        want.append((i, len(x), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(x, np.uint8)[~gone].tobytes()).hexdigest()))
+    return want
+
+
+
+def test_long_documents_in_slices():
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 3, 4000)
+    bounds = np.array([0, 0, 1500, 1520, 4000])
+    whole = passages.windows(x, bounds, 40, 7)
+    flat = lambda r: [(int(p), int(f) + j, int(o), int(k)) for p, f, n, o, k in zip(r.place, r.first, r.count, r.of, r.key) for j in range(int(n))]
+    assert all(flat(passages.windows(x, bounds, 40, 7, step)) == flat(whole) for step in (64, 100, 999)) and len(flat(whole)) == 1461 + 2441
+    assert all((passages.hashes_at(x, whole.place, 7, step) == passages.hashes_at(x, whole.place, 7)).all() for step in (64, 999))
+    raw = np.frombuffer(b"one two  three\nfour fivefive sixsixsix " * 40 + b"x" * 300 + b" end", np.uint8)
+    off = np.array([0, 10, 10, 50, 200, len(raw)])
+    want = suffix_tree.word_places(raw, off)
+    assert all(all((a == b).all() for a, b in zip(suffix_tree.word_places(raw, off, step), want)) for step in (7, 30, 101))
+    text = raw.tobytes()
+    assert [text[a:b] for a, b in zip(want[0].tolist(), want[1].tolist())] == [w for a, b in itertools.pairwise(off.tolist()) for w in text[a:b].split()]
+
+
+def test_a_text_over_many_slices(spark, monkeypatch):
+    rows = documents()
+    monkeypatch.setattr(passages.windows, "__defaults__", (150,))
+    monkeypatch.setattr(passages.hashes_at, "__defaults__", (150,))
+    blocks = suffix_array.pack(frame(spark, rows).coalesce(1), Scratch(spark, "t")).collect()
+    block = suffix_array.Block(bytes(blocks[0].blob))
+    small = suffix_array.repeated(block.data, block.off, 100, 32, [])[1]
+    monkeypatch.undo()
+    big = suffix_array.repeated(block.data, block.off, 100, 32, [])[1]
+    every = lambda r: {(int(p), int(f) + j, int(k)) for p, f, n, k in zip(r.place, r.first, r.count, r.key) for j in range(int(n))}
+    assert every(small) == every(big) and len(small.key) > len(big.key)
+
+
+def test_grown_anchors_keep_all_windows():
+    rng = np.random.default_rng(5)
+    x, bounds = rng.integers(0, 4, 3000), np.array([0, 1000, 3000])
+    for length, k in ((100, 32), (13, 5), (10, 9)):
+        runs, old = passages.windows(x, bounds, length, k), k
+        want = sorted((int(f) + j, int(o)) for f, n, o in zip(runs.first, runs.count, runs.of) for j in range(int(n)))
+        for new in passages.sizes(length, k)[1:]:
+            runs, old = passages.grown(x, runs, old, new, length), new
+            assert sorted((int(f) + j, int(o)) for f, n, o in zip(runs.first, runs.count, runs.of) for j in range(int(n))) == want
+            assert (runs.place >= runs.first + runs.count - 1).all() and (runs.place + new <= runs.first + length).all()
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    body = np.frombuffer(b"aa bb aa ccc bb", np.uint8)
+    starts, ends = np.array([0, 3, 6, 9, 13]), np.array([2, 5, 8, 12, 15])
+    same = lambda n: [[a == b for a in n] for b in n]
+    want = same([0, 1, 0, 2, 1])
+    assert same(suffix_tree.numbered(body, starts, ends).tolist()) == want
+    monkeypatch.setattr(suffix_tree, "word_hashes", lambda *_: np.zeros(5, np.uint64))
+    assert same(suffix_tree.numbered(body, starts, ends).tolist()) == want
