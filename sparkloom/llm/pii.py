@@ -1,8 +1,8 @@
 """Personal data by patterns and a semi-Markov conditional random field.
 
 Base spans (email, ip, card, phone) are found by patterns over the whole text and always
-stay. Around every digit or ``@`` the semi-Markov field then segments the words that base
-spans leave free: candidate segments of up to MAX_WORDS words are scored by features of the
+stay. Around every digit or ``@``, and every value that a key names as a secret, the
+semi-Markov field then segments the words that base spans leave free: candidate segments of up to MAX_WORDS words are scored by features of the
 whole span (shape, digits, check sum, octets, the words before), and bounded-entity dynamic
 programming chooses boundaries and types jointly, ``O`` being a segment of one word. Found
 segments are added as further spans; they can also be of the type ``secret``.
@@ -13,9 +13,11 @@ secrets - in a bounded sample: the regions of about
 SAMPLE_DOCS documents chosen by a hash of the id, cut between segments into pieces of up to
 WINDOW words, at most MAX_REGIONS of them. Decoding runs over whole regions.
 
-Edge cases: a null text is empty and has no spans; repeated rows each give a row; words of
-over MAX_CHARS characters are never part of an added span; an empty table gives none; extra
-columns are ignored.
+Words are taken whole whatever their length, and regions are decoded whole whatever theirs;
+the work is linear in the text.
+
+Edge cases: a null text is empty and has no spans; repeated rows each give a row; an empty
+table gives none; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from .common import prepare, table
 
 KINDS = ("email", "ip", "card", "phone")
 TYPES = ("O", "email", "ip", "card", "phone", "secret")
-MAX_WORDS, MAX_CHARS, WINDOW, REACH = 4, 128, 16, 80
+MAX_WORDS, WINDOW, NEAR = 4, 16, 3
 SAMPLE_DOCS, MAX_REGIONS = 4000, 4000
 SLOTS, WIDTH = 4096, 16
 #: Words that are decoded at once, but for a single longer run.
@@ -47,7 +49,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]+")
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-_SECRET = re.compile(r"(?i)\b(?:token|secret|api[_-]?key|password|passwd|pwd)\b[\x20\x09]*[=:][\x20\x09]*[\"']?([A-Za-z0-9+/_.-]{16,128})")
+_SECRET = re.compile(r"(?i)\b(?:token|secret|api[_-]?key|password|passwd|pwd)\b[\x20\x09]*[=:][\x20\x09]*[\"']?([A-Za-z0-9+/_.-]{16,})")
+#: Every secret matches this as well.
+_KEY = re.compile(r"(?i)(?:token|secret|key|password|passwd|pwd)[\x20\x09]*[=:]")
 _BLANK = " \t\n\v\f\r"
 _TRIM = "\"'<>[]{},;:!?*#$%&|.=`"
 
@@ -95,45 +99,61 @@ def silver_spans(text: str) -> list[Span]:
     return base_spans(text) + [(*m.span(1), "secret") for m in _SECRET.finditer(text)]
 
 
-def regions(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of word spans around digits and ``@``; words of a run are consecutive and whole."""
-    out: list[list[tuple[int, int]]] = []
-    areas: list[tuple[int, int]] = []
-    low = high = -1
-    for m in _TRIGGER.finditer(text):
-        if m.start() - REACH > high:
-            if high >= 0:
-                areas.append((low, high))
-            low = max(0, m.start() - REACH)
-        high = m.end() + REACH
-    if high >= 0:
-        areas.append((low, min(high, len(text))))
-    spans: list[list[int]] = []
-    for low, high in areas:
-        while low > 0 and text[low] not in _BLANK and text[low - 1] not in _BLANK and (not spans or low > spans[-1][1]):
-            low -= 1
-        m = _WORDS.match(text, high) if text[high - 1] not in _BLANK else None
-        high = m.end() if m else high
-        if spans and low <= spans[-1][1]:
-            spans[-1][1] = max(high, spans[-1][1])
+def triggers(text: str) -> list[int]:
+    """Places of digits, ``@`` and secrets' values: the words there are what the field is for."""
+    out = [m.start() for m in _TRIGGER.finditer(text)]
+    if "=" in text or ":" in text:
+        out = sorted(out + [m.start(1) for m in _SECRET.finditer(text)])
+    return out
+
+
+def areas(text: str) -> list[tuple[list[tuple[int, int]], list[int]]]:
+    """Runs of whole consecutive words, up to NEAR on each side of every triggering one, and the
+    numbers of these in the run."""
+    out: list[tuple[list[tuple[int, int]], list[int]]] = []
+    run: list[tuple[int, int]] = []
+    hits: list[int] = []
+    floor = 0
+
+    def back(at: int, blank: bool) -> int:
+        while at > floor and (text[at - 1] in _BLANK) == blank:
+            at -= 1
+        return at
+
+    for at in triggers(text):
+        if at < floor:  # in a word that the run has
+            k = len(run) - 1
+            while run[k][0] > at:
+                k -= 1
+            if not hits or hits[-1] != k:
+                hits.append(k)
         else:
-            spans.append([low, high])
-    for low, high in spans:
-        words = [m.span() for m in _WORDS.finditer(text, low, high)]
-        hit = [any("0" <= c <= "9" or c == "@" for c in text[a:b]) for a, b in words]
-        keep = [any(hit[max(0, i - 3) : i + 4]) for i in range(len(words))]
-        run: list[tuple[int, int]] = []
-        for w, k in zip(words, keep):
-            if k:
-                run.append(w)
-            elif run:
-                out.append(run)
-                run = []
-        if run:
-            out.append(run)
+            begin = back(at, False)
+            before = [(begin, _WORDS.match(text, begin).end())]
+            edge = back(begin, True)
+            while len(before) <= NEAR and edge > floor:
+                before.append((back(edge, False), edge))
+                edge = back(before[-1][0], True)
+            if run and edge > floor:
+                out.append((run, hits))
+                run, hits = [], []
+            run += before[::-1]
+            hits.append(len(run) - 1)
+        while len(run) <= hits[-1] + NEAR:
+            m = _WORDS.search(text, run[-1][1])
+            if m is None:
+                break
+            run.append(m.span())
+        floor = run[-1][1]
+    if run:
+        out.append((run, hits))
     return out
 
 
+def regions(text: str) -> list[list[tuple[int, int]]]:
+    return [words for words, _ in areas(text)]
+
+
 def blocks(gold: np.ndarray) -> list[tuple[int, int]]:
     """Cuts a run for training into pieces of at most WINDOW words, none inside a silver segment."""
     out, low = [], 0
@@ -160,7 +180,7 @@ _SHAPES = ((re.compile("[0-9]+"), "9"), (re.compile("[a-z]+"), "a"), (re.compile
 def span_features(text: str, words: list[tuple[int, int]], i: int, n: int) -> list[int]:
     """Slots of the features of words i..i+n-1 taken as one span."""
     start, end = trimmed(text, words[i][0], words[i + n - 1][1])
-    s = text[start:end][: MAX_CHARS + 1]
+    s = text[start:end]
     digits = [c for c in s if "0" <= c <= "9"]
     d = len(digits)
     shape = s
@@ -168,9 +188,9 @@ def span_features(text: str, words: list[tuple[int, int]], i: int, n: int) -> li
         shape = pattern.sub(to, shape)
     parts = s.split(".")
     size = len(s)
-    before = text[words[i - 1][0] : words[i - 1][1]][:16].lower() if i else "^"
-    before2 = text[words[i - 2][0] : words[i - 2][1]][:16].lower() if i > 1 else "^"
-    f = [f"n{n}", f"s{shape[:24]}", f"d{d if d < 20 else 20}", f"l{min(size // 4, 12)}", f"r{4 * d // size if size else 9}", f"n{n}h{bool(d)}", f"a{s.count('@')}.{s.rpartition('@')[2].count('.') if '@' in s else '-'}"]
+    before = text[words[i - 1][0] : words[i - 1][1]].lower() if i else "^"
+    before2 = text[words[i - 2][0] : words[i - 2][1]].lower() if i > 1 else "^"
+    f = [f"n{n}", f"s{shape}", f"d{d if d < 20 else 20}", f"l{min(size // 4, 12)}", f"r{4 * d // size if size else 9}", f"n{n}h{bool(d)}", f"a{s.count('@')}.{s.rpartition('@')[2].count('.') if '@' in s else '-'}"]
     f.append("o%d" % (len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)))
     if 12 <= d <= 19:
         f.append("c%d%d" % (luhn("".join(digits)), d + s.count(" ") + s.count("-") == size))
@@ -179,8 +199,8 @@ def span_features(text: str, words: list[tuple[int, int]], i: int, n: int) -> li
     if before in ("=", ":") or before2 in ("token", "key", "secret", "password"):
         f.append(f"k{before}|{before2}")
     f.append("p%d%d" % (s[:1] == "+", s[:1] == "("))
-    if size > MAX_CHARS or size == 0:
-        f.append("long")
+    if size == 0:
+        f.append("none")
     inner = [text[a:b] for a, b in words[i : i + n]]
     f.append("e%d" % sum(not any("0" <= c <= "9" or c == "@" for c in w) for w in inner))
     return [zlib.crc32(x.encode()) % (SLOTS - 1) + 1 for x in f[:WIDTH]]
@@ -205,7 +225,9 @@ class Field:
 
     def scores(self, slots: np.ndarray, free: np.ndarray) -> np.ndarray:
         """Scores [region, word, length, type]; what a segment can't be is minus infinity."""
-        s = self.w[slots].sum(axis=3, dtype=np.float64)
+        s = np.zeros((*slots.shape[:3], len(TYPES)))
+        for k in range(WIDTH):
+            s += self.w[slots[..., k]]
         s[:, :, 1:, 0] = -np.inf
         s[:, :, :, 1:][~free] = -np.inf
         return s
@@ -301,12 +323,14 @@ def _free(words: list[tuple[int, int]], taken: list[Span]) -> np.ndarray:
 
 def _gold(text: str, words: list[tuple[int, int]], spans: list[Span]) -> np.ndarray:
     """(length, type) at the first word of each silver segment; other words are O."""
-    out, known, i = np.zeros((len(words), 2), np.int8), {(a, b): TYPES.index(k) for a, b, k in spans}, 0
+    out, known, i = np.zeros((len(words), 2), np.int8), {}, 0
+    for a, b, k in spans:
+        known.setdefault(a, []).append((b, TYPES.index(k)))
     while i < len(words):
         for n in range(min(MAX_WORDS, len(words) - i), 0, -1):
             a, b = trimmed(text, words[i][0], words[i + n - 1][1])
-            y = next((y for (x, e), y in known.items() if a <= x < e <= b and x - a <= 1 and b - e <= 1), 0)
-            if not y and b - a <= MAX_CHARS:  # a span by itself, which its neighbours hide from the patterns
+            y = next((y for x in (a, a + 1) for e, y in known.get(x, ()) if x < e <= b and b - e <= 1), 0)
+            if not y:  # a span by itself, which its neighbours hide from the patterns
                 alone = base_spans(text[a:b])
                 y = TYPES.index(alone[0][2]) if len(alone) == 1 and alone[0][:2] == (0, b - a) else 0
             if y or n == 1:
@@ -323,7 +347,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_regions: int = MAX_
     if total == 0:
         return field
     place = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("pii")), 11) / F.lit(float(1 << 53))
-    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).where((place < min(1.0, sample_docs / total)) & F.col("text").rlike("[0-9@]"))
+    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).where((place < min(1.0, sample_docs / total)) & F.col("text").rlike(f"[0-9@]|{_KEY.pattern}"))
 
     def run(batches):
         for b in batches:
@@ -350,10 +374,14 @@ def added_spans(texts: list[str], bases: list[list[Span]], field: Field) -> list
     out: list[list[Span]] = [[] for _ in texts]
     jobs = []
     for k, (text, taken) in enumerate(zip(texts, bases)):
-        for words in regions(text):
-            near = [s for s in taken if s[0] < words[-1][1] and words[0][0] < s[1]]
+        near, at = [], 0
+        for words, hits in areas(text):
+            while at < len(taken) and taken[at][0] < words[-1][1]:
+                near.append(taken[at])
+                at += 1
+            near = [s for s in near if words[0][0] < s[1]]
             free = _free(words, near)
-            if any(free[i, 0] and any("0" <= c <= "9" or c == "@" for c in text[a:b]) for i, (a, b) in enumerate(words)):
+            if any(free[i, 0] for i in hits):
                 jobs.append((k, words, free))
     jobs.sort(key=lambda job: len(job[1]))
     at = 0
@@ -368,7 +396,7 @@ def added_spans(texts: list[str], bases: list[list[Span]], field: Field) -> list
         for (k, words, _), found in zip(part, field.best(slots, np.array([len(w) for _, w, _ in part]), np.stack([fill(f) for _, _, f in part]))):
             for i, n, y in found:
                 a, b = trimmed(texts[k], words[i][0], words[i + n - 1][1])
-                if a < b and b - a <= MAX_CHARS:
+                if a < b:
                     out[k].append((a, b, TYPES[y]))
     return out
 
@@ -388,7 +416,6 @@ def find(docs: DataFrame, field: Field, keep: tuple[str, ...] = ("doc_id",), red
     """
     spark = docs.sparkSession
     prepare(spark)
-    sent = spark.sparkContext.broadcast(field)
     schema = docs.select(*keep).schema
     schema = schema.add("text", "string") if redact else schema.add("n_email", "long").add("n_ip", "long").add("n_card", "long").add("n_phone", "long").add("base_sha256", "string").add("spans", "string")
 
@@ -396,10 +423,10 @@ def find(docs: DataFrame, field: Field, keep: tuple[str, ...] = ("doc_id",), red
         for b in batches:
             texts = b.column(b.num_columns - 1).to_pylist()
             full = [t or "" for t in texts]
-            seen = [bool(t) and _TRIGGER.search(t) is not None for t in full]
+            seen = [bool(t) and (_TRIGGER.search(t) is not None or _KEY.search(t) is not None) for t in full]
             bases = [base_spans(t) if s else [] for t, s in zip(full, seen)]
             at = [i for i, s in enumerate(seen) if s]
-            added = dict(zip(at, added_spans([full[i] for i in at], [bases[i] for i in at], sent.value)))
+            added = dict(zip(at, added_spans([full[i] for i in at], [bases[i] for i in at], field)))
             spans = [all_spans(base, added.get(i, [])) for i, base in enumerate(bases)]
             if redact:
                 cols = [pa.array([redacted(t, s) if s else t for t, s in zip(texts, spans)], pa.string())]
