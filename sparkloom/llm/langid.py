@@ -7,8 +7,12 @@ of counts scaled to length one.
 
 Training reads only text and lang of the training rows. It uses a bounded sample: about
 PER_LANGUAGE rows of each language (all, if fewer), chosen by a hash of the id, so the
-sample doesn't depend on the layout. Labels are at most MAX_LANGUAGES. Prediction runs over
-every row with a model of a few hundred KB.
+sample doesn't depend on the layout; with over SAMPLE_ROWS / PER_LANGUAGE languages, each has
+an equal share of SAMPLE_ROWS, but at least LEAST rows. Every language is learned. The sample's
+features are a written table, and every task fits the classifiers of one family, or of the
+pairs between two groups of at most TOGETHER languages, so that no process holds more rows
+than that; the driver gets the classifiers. Prediction runs over every row; the model has
+8 KB for each family and pair of languages in a family.
 
 The score is the product of the calibrated family probability and the pairwise coupling
 within the family, between 0 and 1.
@@ -27,10 +31,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, slices, table, text_arrays
+from .common import Scratch, prepare, slices, table, text_arrays
 
 UNDETERMINED = "und"
-PER_LANGUAGE, MAX_LANGUAGES = 800, 200
+PER_LANGUAGE, SAMPLE_ROWS, LEAST, TOGETHER = 800, 24_000, 40, 8
 DIMENSIONS = 2048
 #: Families of common language codes; an unlisted code is in the family ``other``.
 FAMILIES = {
@@ -115,22 +119,56 @@ def train_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, steps: int = 150) -
     return w[:-1], float(w[-1]), slope
 
 
+#: A fitted classifier: kind, the languages or family it tells apart, weights, bias and slope.
+Fit = tuple[str, str, str, np.ndarray, float, float]
+
+
+def fit_family(x: np.ndarray, of: np.ndarray, name: str) -> list[Fit]:
+    """The classifier of a family against the rest; ``of`` are the rows' families."""
+    return [("family", name, "", *train_svm(x, np.where(of == name, 1.0, -1.0)))]
+
+
+def fit_pairs(x: np.ndarray, lang: np.ndarray, left: list[str], right: list[str]) -> list[Fit]:
+    """A classifier for every pair of a language in ``left`` and a later one in ``right``."""
+    out = []
+    for a in left:
+        for b in right:
+            if a < b:
+                rows = (lang == a) | (lang == b)
+                out.append(("pair", a, b, *train_svm(x[rows], np.where(lang[rows] == a, 1.0, -1.0))))
+    return out
+
+
+def jobs_of(languages: list[str], together: int = TOGETHER) -> list[tuple[str, str, list[str], list[str]]]:
+    """What is fitted at once: (kind, family, languages, languages)."""
+    families = sorted({family(v) for v in languages})
+    out = [("family", f, languages, []) for f in families] if len(families) > 1 else []
+    for f in families:
+        own = [v for v in languages if family(v) == f]
+        parts = [own[i : i + together] for i in range(0, len(own), together)]
+        out += [("pair", f, p, q) for i, p in enumerate(parts) for q in parts[i:] if len(p) > 1 or p is not q]
+    return out
+
+
 class Model:
     """Family classifiers and, in each family, one classifier for every pair of languages."""
 
-    def __init__(self, x: np.ndarray, lang: list[str]):
-        y = np.array(lang)
-        self.languages = sorted(set(lang))
+    def __init__(self, languages: list[str], fits: list[Fit]):
+        self.languages = sorted(languages)
         self.families = sorted({family(v) for v in self.languages})
-        of = np.array([family(v) for v in lang])
-        jobs = [("family", f, np.ones(len(y), bool), of == f) for f in self.families] if len(self.families) > 1 else []
-        for f in self.families:
-            own = [v for v in self.languages if family(v) == f]
-            jobs += [("pair", (a, b), (y == a) | (y == b), y == a) for i, a in enumerate(own) for b in own[i + 1 :]]
-        self.jobs = [(kind, key) for kind, key, _, _ in jobs]
-        fits = [train_svm(x[rows], np.where(yes[rows], 1.0, -1.0)) for _, _, rows, yes in jobs]
-        self.w = np.stack([f[0] for f in fits], axis=1).astype(np.float32) if fits else None
-        self.b, self.slope = (np.array([f[k] for f in fits]) for k in (1, 2))
+        fits = sorted(fits, key=lambda f: f[:3])
+        self.jobs = [(kind, a if kind == "family" else (a, b)) for kind, a, b, *_ in fits]
+        self.w = np.stack([f[3] for f in fits], axis=1).astype(np.float32) if fits else None
+        self.b, self.slope = (np.array([f[k] for f in fits]) for k in (4, 5))
+
+    @classmethod
+    def of(cls, x: np.ndarray, lang: list[str]) -> Model:
+        """Fitted in this process."""
+        y, languages = np.array(lang), sorted(set(lang))
+        fits = []
+        for kind, f, left, right in jobs_of(languages):
+            fits += fit_family(x, np.array([family(v) for v in lang]), f) if kind == "family" else fit_pairs(x, y, left, right)
+        return cls(languages, fits)
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         n = len(x)
@@ -162,16 +200,18 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def fit(train: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
+def fit(train: DataFrame, per_language: int = PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """Learns from (doc_id, text, lang) rows with a label; the sample's size is bounded."""
-    prepare(train.sparkSession)
+    spark = train.sparkSession
+    scratch = Scratch(spark, "langid")
     train = train.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = train.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES).collect()
+    counts = {r.lang: r.n for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
-    share = F.create_map(*(F.lit(v) for r in counts for v in (r.lang, min(1.0, per_language / r.n))))
+    most = min(per_language, max(LEAST, sample_rows // len(counts)))
+    share = F.create_map(*(F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, min(1.0, most / n))))
     place = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("sample")), 11) / F.lit(float(1 << 53))
-    chosen = train.where(place < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0.0)))
+    chosen = train.where(place < F.try_element_at(share, F.col("lang")))
 
     def run(batches):
         for b in batches:
@@ -179,18 +219,34 @@ def fit(train: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
                 x = features(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v.tobytes() for v in x], pa.binary())], ["lang", "x"])
 
-    rows = chosen.select("lang", "text").mapInArrow(run, "lang string, x binary").collect()
-    if not rows:
+    sample = scratch.save(chosen.select("lang", "text").mapInArrow(run, "lang string, x binary"), "sample")
+    languages = sorted(r.lang for r in sample.select("lang").distinct().collect())
+    if not languages:
         return None
-    rows.sort(key=lambda r: (r.lang, bytes(r.x)))
-    return Model(np.frombuffer(b"".join(r.x for r in rows), np.float32).reshape(len(rows), -1), [r.lang for r in rows])
+    jobs = jobs_of(languages)
+    wanted = [(v, i) for i, (_, _, left, right) in enumerate(jobs) for v in dict.fromkeys(left + right)]
+
+    def fitted(t):
+        kind, f, left, right = jobs[t.column("job")[0].as_py()]
+        rows = sorted(zip(t.column("lang").to_pylist(), t.column("x").to_pylist()))
+        lang = np.array([v for v, _ in rows])
+        x = np.frombuffer(b"".join(v for _, v in rows), np.float32).reshape(len(rows), -1)
+        fits = fit_family(x, np.array([family(v) for v in lang.tolist()]), f) if kind == "family" else fit_pairs(x, lang, left, right)
+        return pa.table([pa.array(c) for c in zip(*((*k, w.astype(np.float32).tobytes(), b, slope) for *k, w, b, slope in fits))], ["kind", "a", "b", "w", "bias", "slope"])
+
+    fits = []
+    if wanted:
+        needs = spark.createDataFrame(wanted, "lang string, job int")
+        rows = sample.join(F.broadcast(needs), "lang").groupBy("job").applyInArrow(fitted, "kind string, a string, b string, w binary, bias double, slope double")
+        fits = [(r.kind, r.a, r.b, np.frombuffer(r.w, np.float32), r.bias, r.slope) for r in rows.collect()]
+    scratch.drop(sample)
+    return Model(languages, fits)
 
 
 def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> DataFrame:
     """(*keep, lang_pred, score) of every row, from its text alone."""
     spark = docs.sparkSession
     prepare(spark)
-    sent = spark.sparkContext.broadcast(model)
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches):
@@ -199,8 +255,8 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) ->
                 for at in range(0, part.num_rows, 256):
                     piece = part.slice(at, 256)
                     text = piece.column(piece.num_columns - 1)
-                    letters = has_letter(text) if sent.value is not None else np.zeros(piece.num_rows, bool)
-                    lang, score = sent.value.predict(features(text)) if letters.any() else ([UNDETERMINED] * piece.num_rows, np.zeros(piece.num_rows))
+                    letters = has_letter(text) if model is not None else np.zeros(piece.num_rows, bool)
+                    lang, score = model.predict(features(text)) if letters.any() else ([UNDETERMINED] * piece.num_rows, np.zeros(piece.num_rows))
                     lang = [v if ok else UNDETERMINED for v, ok in zip(lang, letters)]
                     yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(lang, pa.string()), pa.array(np.where(letters, score, 0.0))], names=schema.names)
 
