@@ -3,16 +3,19 @@
 Words are runs of letters and digits, lower-cased; shingles are SHINGLE words (repeats
 count; of a shorter text, all its words are one shingle). For every length that a benchmark
 item has, a window of that many words slides over each document (a shorter document is one
-window). The windows' SimHash fingerprints are looked up in a multi-index: the 64 bits are
-four blocks, and an item within RADIUS bits agrees with the window in some block up to
-RADIUS div 4 bits, so that no fingerprint within the radius is lost. Candidates are verified
-by the exact weighted Jaccard similarity of their shingles, weighted by occurrences.
+window). The windows' SimHash fingerprints are looked up in a multi-index of the items of that
+length: the 64 bits are BLOCKS blocks, and an item within RADIUS bits agrees with the window in
+some block up to RADIUS div BLOCKS bits, so that no fingerprint within the radius is lost.
+Candidates are verified by the exact weighted Jaccard similarity of their shingles, weighted
+by occurrences. At a similarity of 0.8 a fingerprint is outside the radius with a probability
+of about one in a thousand (a test measures it).
 
 Fingerprints are only made of windows in which at least as many shingles occur anywhere in
 the benchmark as the similarity needs; any other window can't pass the verification.
 
-The benchmark goes to the tasks in parts of at most PART_ITEMS items and PART_BYTES of text;
-a larger benchmark takes several passes over the documents.
+One pass over the documents serves a benchmark of up to PART_BYTES of text, with any number of
+items; its index takes a few times its text in a worker. Beyond that bound, which public
+benchmarks together stay below, every further PART_BYTES is a pass.
 
 Edge cases: null or empty texts, and items without a word, match nothing; equal items each
 match; repeated rows each give rows; an empty table gives none; extra columns are ignored.
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import mix64, prepare, slices, table, text_arrays, word_bounds, word_hashes
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 19
-PART_ITEMS, PART_BYTES = 1024, 16 << 20
+BLOCKS, PART_BYTES = 8, 64 << 20
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[[b for b in range(128) if not chr(b).isalnum()]] = 32
@@ -65,21 +68,26 @@ def simhash_rows(h: np.ndarray) -> np.ndarray:
 
 
 class MultiIndex:
-    """Fingerprints in four 16-bit blocks; every value lists the items near it in that block."""
+    """Fingerprints in blocks of bits; every value of a block lists the items near it there."""
 
-    def __init__(self, fps: np.ndarray, radius: int = RADIUS):
-        self.fps, self.radius = fps, radius
-        self.lists = np.zeros((4, 65536, (len(fps) + 63) // 64), np.uint64)
-        ball = np.flatnonzero(np.bitwise_count(np.arange(65536, dtype=np.uint16)) <= radius // 4).astype(np.uint16)
-        for i, fp in enumerate(fps):
-            for b in range(4):
-                self.lists[b, ball ^ np.uint16(int(fp) >> 16 * b & 0xFFFF), i // 64] |= np.uint64(1 << i % 64)
+    def __init__(self, fps: np.ndarray, radius: int = RADIUS, blocks: int = BLOCKS):
+        self.fps, self.radius, self.width = fps, radius, 64 // blocks
+        values = np.arange(1 << self.width, dtype=np.uint64)
+        self.lists = np.zeros((blocks, len(values), (len(fps) + 63) // 64), np.uint64)
+        for b in range(blocks):
+            near = np.bitwise_count(values[:, None] ^ self._value(fps, b)[None, :]) <= radius // blocks
+            near = np.pad(near, ((0, 0), (0, -len(fps) % 64)))
+            self.lists[b] = np.packbits(near, axis=1, bitorder="little").view(np.uint64)
+
+    def _value(self, fp: np.ndarray, block: int) -> np.ndarray:
+        return fp >> np.uint64(self.width * block) & np.uint64((1 << self.width) - 1)
 
     def near(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, item) of all pairs within the radius."""
-        blocks = fp.view(np.uint16).reshape(-1, 4)
-        bits = self.lists[0, blocks[:, 0]] | self.lists[1, blocks[:, 1]] | self.lists[2, blocks[:, 2]] | self.lists[3, blocks[:, 3]]
-        row, item = np.nonzero(np.unpackbits(np.ascontiguousarray(bits).view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little")[:, : len(self.fps)])
+        bits = np.zeros((len(fp), self.lists.shape[2]), np.uint64)
+        for b in range(len(self.lists)):
+            bits |= self.lists[b, self._value(fp, b).astype(np.int64)]
+        row, item = np.nonzero(np.unpackbits(bits.view(np.uint8), axis=1, bitorder="little")[:, : len(self.fps)])
         close = np.bitwise_count(fp[row] ^ self.fps[item]) <= self.radius
         return row[close], item[close]
 
@@ -94,32 +102,23 @@ class Benchmark:
     """The items of one part, by length in words."""
 
     def __init__(self, item_ids: list[int], texts: list[str], shingle: int = SHINGLE, least: float = SIMILARITY, radius: int = RADIUS):
-        self.shingle, self.least = shingle, least
+        self.shingle, self.least, self.ids = shingle, least, item_ids
         h, at = words_of(pa.array(texts, pa.string()))
-        self.by_length: dict[int, list[int]] = {}
-        self.ids, self.counts, fps = [], [], []
-        for i, key in enumerate(item_ids):
+        self.shingles: list[np.ndarray] = []  # of each item
+        by_length: dict[int, list[int]] = {}
+        for i in range(len(item_ids)):
             own = h[at[i] : at[i + 1]]
+            self.shingles.append(shingles(own, min(shingle, len(own))) if len(own) else own)
             if len(own):
-                s = shingles(own, min(shingle, len(own)))
-                self.by_length.setdefault(len(own), []).append(len(self.ids))
-                self.ids.append(key)
-                self.counts.append(Counter(s.tolist()))
-                fps.append(simhash_rows(s[None])[0])
-        fps = np.array(fps, np.uint64)
-        self.lengths = np.zeros(len(self.ids), int)
-        for n, own in self.by_length.items():
-            self.lengths[own] = n
-        self.index = MultiIndex(fps, radius)
-        self.known = {}
-        for k in sorted({min(shingle, n) for n in self.by_length}):
-            items = [i for n, own in self.by_length.items() if min(shingle, n) == k for i in own]
-            self.known[k] = np.unique(np.array([x for i in items for x in self.counts[i]], np.uint64))
+                by_length.setdefault(len(own), []).append(i)
+        self.items = {n: np.array(own) for n, own in sorted(by_length.items())}
+        self.index = {n: MultiIndex(simhash_rows(np.stack([self.shingles[i] for i in own])), radius) for n, own in by_length.items()}
+        self.known = {k: np.unique(np.concatenate([self.shingles[i] for n, own in by_length.items() if min(shingle, n) == k for i in own])) for k in {min(shingle, n) for n in by_length}}
 
     def matches(self, texts: pa.Array) -> list[tuple[int, int, float, int]]:
         """(text, item id, similarity, first word) of the best window of each matching pair."""
         best: dict[tuple[int, int], tuple[float, int]] = {}
-        if not self.by_length:
+        if not self.items:
             return []
         h, at = words_of(texts)
         for k, known in self.known.items():
@@ -131,22 +130,23 @@ class Benchmark:
             lo, hi = np.minimum(at[:-1], len(s)), np.minimum(end, len(s))
             for d in np.flatnonzero(sums[hi] > sums[lo]):
                 mine, seen = s[lo[d] : hi[d]], sums[lo[d] : hi[d] + 1]
-                for n in self.by_length:
+                for n, items in self.items.items():
                     if min(self.shingle, n) != k:
                         continue
                     want = n - k + 1
                     size = min(want, len(mine))
                     # of W and V shingles, m common ones give m / (W + V - m)
                     need = self.least / (1 + self.least) * (want + size) - 1e-9
+                    if seen[-1] - seen[0] < need:
+                        continue
                     start = np.flatnonzero(seen[size:] - seen[: len(seen) - size] >= need)
                     for part in np.array_split(start, max(1, len(start) * size // 200_000)):
                         if len(part) == 0:
                             continue
-                        windows = mine[part[:, None] + np.arange(size)]
-                        row, item = self.index.near(simhash_rows(windows))
-                        right = self.lengths[item] == n
-                        for r, i in zip(row[right].tolist(), item[right].tolist()):
-                            score = similarity(Counter(windows[r].tolist()), self.counts[i])
+                        found = mine[part[:, None] + np.arange(size)]
+                        row, item = self.index[n].near(simhash_rows(found))
+                        for r, i in zip(row.tolist(), items[item].tolist()):
+                            score = similarity(Counter(found[r].tolist()), Counter(self.shingles[i].tolist()))
                             if score >= self.least and score > best.get((int(d), i), (0.0, 0))[0]:
                                 best[int(d), i] = score, int(part[r])
         return [(d, self.ids[i], score, start) for (d, i), (score, start) in sorted(best.items())]
@@ -155,8 +155,8 @@ class Benchmark:
 def benchmark_parts(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """The items, a bounded part at a time."""
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    r = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
-    parts = max(-(-r.n // PART_ITEMS), -(-r.b // PART_BYTES)) * 2 if max(r.n / PART_ITEMS, r.b / PART_BYTES) > 1 else 1
+    r = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.lit(8)), F.lit(0)).alias("b")).first()
+    parts = -(-r.b // PART_BYTES) * 2 if r.b > PART_BYTES else 1
     mine = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
     for k in range(parts):
         yield sorted(((x.item_id, x.text) for x in items.where(mine == k).collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))

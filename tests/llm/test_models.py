@@ -153,7 +153,7 @@ def test_decontamination(spark):
 
 
 def test_benchmark_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "PART_ITEMS", 4)
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 400)
     rng = random.Random(9)
     items = [(k, words(rng, 20, 3000)) for k in range(20)]
     docs = frame(spark, [(k, t, "en", "s", 1) for k, t in items])
@@ -161,6 +161,31 @@ def test_benchmark_in_parts(spark, monkeypatch):
     assert sorted((r.doc_id, r.item_id) for r in got) == [(k, k) for k in range(20)]
 
 
+def test_one_pass_for_many_items(spark):
+    rng = random.Random(10)
+    items = [(k, words(rng, rng.choice([6, 13, 30]), 3000)) for k in range(3000)]
+    docs = frame(spark, [(k, words(rng, 20, 3000) + " " + t, "en", "s", 1) for k, t in items[::10]])
+    out = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in out.collect()} >= {(k, k) for k, _ in items[::10]}
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_items_within_the_radius_at_the_similarity():
+    """Windows with changed words, at a similarity of 0.8 or a little over."""
+    rng, found, n = np.random.default_rng(12), 0, 0
+    while n < 3000:
+        size = int(rng.integers(30, 120))
+        item = rng.integers(0, 2**63, size, dtype=np.uint64)
+        window = item.copy()
+        window[rng.choice(size, max(1, size // 48), replace=False)] = rng.integers(0, 2**63, max(1, size // 48), dtype=np.uint64)
+        a, b = decontaminate.shingles(item, 5), decontaminate.shingles(window, 5)
+        if 0.8 <= decontaminate.similarity(collections.Counter(a.tolist()), collections.Counter(b.tolist())) < 0.86:
+            n += 1
+            fa, fb = decontaminate.simhash_rows(np.stack((a, b)))
+            found += int(np.bitwise_count(fa ^ fb)) <= decontaminate.RADIUS
+    assert found >= 0.997 * n
+
+
 def test_multi_index_finds_all_in_the_radius():
     rng = np.random.default_rng(1)
     items = rng.integers(0, 2**63, 100, dtype=np.uint64)
