@@ -1,22 +1,28 @@
-"""Near duplicates by exact similarity of shingle sets: prefix filter, then verification.
+"""The SimHash operator for texts of a given similarity: anchor covering, then verification.
 
 Words are as in op5 (A-Z lower-cased, ASCII white space between); a text's set holds the 64-bit
 hashes of its SHINGLE-word shingles (of a shorter text, all its words are one shingle). Two
 texts are linked if the Jaccard similarity of their sets is at least 4/5.
 
-Search: under any one order of all shingles, two sets of a similarity of 4/5 or more share a
-shingle among the first n - ceil(4n/5) + 1 of each (n the set's size), so that no pair is
-lost, whatever the number of differing SimHash bits. The order is by hash, with shingles that
-are frequent in a sample of about SAMPLE_DOCS documents last; the sample changes only the
-cost. Pairs that meet are dropped only if their sizes, or the shingles left after the place
-where they meet, rule the similarity out.
-
-Verification: of each candidate pair first the bitmaps, in which every shingle of a set flips
-one of BITS bits: similar sets differ in at most a ninth of their sizes' sum, so their bitmaps in
-no more bits. The sets of the pairs left are compared in full. The first candidates are
-each shingle's smallest class with every other one; then come the pairs of which the links
-found so far don't already make one component, so that dense groups of near copies don't
-grow with their square. Different texts that share their rarest shingles still do.
+At that similarity the sets' cosine is at least 8/9, and a SimHash bit differs with a
+probability of 0.151: about 10 of 64 bits, so that no search within a few bits finds such
+pairs, and one within enough of them meets a fixed share of all texts. So the fingerprint is
+wide, BITS bits: the shingles are added with hashed signs in BITS places, and the signs of the
+sums' Walsh-Hadamard transform are the bits. It is cut into blocks of CODE and some free bits.
+The anchors of a block are the words of the binary Hamming code of length CODE, which covers its
+bits with radius 1, with every value of the free bits; the threshold in a block is 0, so a
+fingerprint goes to the one anchor within the radius, in every block. Similar texts share the
+anchor of a block with a probability that ``layout`` computes; it makes as many blocks as leave
+a similarity of exactly 4/5 unmet with a probability of at most MISSED, and as many free bits as
+leave an anchor about HOMES texts, so that comparisons don't grow with the square of the table.
+More similar pairs are missed by far more rarely; tests measure both.
+
+Texts at one anchor are compared by CHECK bits of the fingerprint, within RADIUS. All the pairs
+found are verified: first by bitmaps, in which every shingle of a set flips one of BITS bits
+(similar sets differ in at most a ninth of their sizes' sum, so their bitmaps in no more bits),
+then by the whole sets. Where an anchor has many more near pairs than texts, at first only a
+spanning forest of them is verified, and then those pairs that the links found don't already
+make one component, so that dense groups of near copies don't grow with their square.
 
 Texts of one set are one class, known by a 64-bit hash of the set. Edge cases: null and empty
 texts and texts without words have the empty set and are one class; repeated rows of an id
@@ -25,18 +31,24 @@ and class leave one; a null doc_id counts as the smallest; an empty table gives
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
 
-from .common import LOWER, NULL_ID, Scratch, connected_components, groups, prepare, slices, text_arrays, tiles, word_bounds, word_hashes
+from .common import LOWER, NULL_ID, Scratch, connected_components, forest, groups, prepare, slices, text_arrays, tiles, word_bounds, word_hashes
 from .decontaminate import shingles
 
 SHINGLE = 5
-SAMPLE_DOCS, MAX_FREQUENT = 10_000, 200_000
 CHUNK, BITS = 2000, 1024
+CODE, HOMES, MISSED = 15, 64, 0.01
+CHECK, RADIUS = 128, 32
+#: Pairs that an anchor reports for each of its texts before it reports a forest only.
+DENSE = 8
+#: The probability that a bit differs between sets at a similarity of exactly 4/5.
+DIFFERS = math.acos(8 / 9) / math.pi
 
 
 def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -84,36 +96,114 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *rows]).view(np.int64)))
 
 
-def frequent(docs: DataFrame, shingle: int, sample_docs: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several sampled documents hold, sorted, and their places by frequency."""
-    total = docs.count()
-    place = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("similar")), 11) / F.lit(float(1 << 53))
-    chosen = docs.where(place < min(1.0, sample_docs / max(1, total)))
-    rows = _with_sets(chosen, (), {"s": ArrayType(LongType())}, lambda sets: [_lists(sets)], shingle).select(F.explode("s").alias("s"))
-    rows = rows.groupBy("s").agg(F.count("*").alias("n")).where("n > 2").orderBy(F.col("n").desc(), "s").limit(MAX_FREQUENT).collect()
-    h, n = np.array([r.s for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows], np.int64)
-    by = np.lexsort((h, n))
-    rank = np.empty(len(h), np.int64)
-    rank[by] = np.arange(1, len(h) + 1)
-    order = np.argsort(h)
-    return h[order], rank[order]
+def bitmap(s: np.ndarray) -> bytes:
+    return np.packbits(np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1).tobytes()
 
 
-def prefix(s: np.ndarray, known: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The shingles of a set that a similar one must share one of, in the common order."""
-    if len(s) and len(known):
-        at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-        s = s[np.lexsort((s, np.where(known[at] == s, rank[at], 0)))]
-    return s[: len(s) - (4 * len(s) + 4) // 5 + 1]
+def _hadamard(n: int) -> np.ndarray:
+    h = np.ones((1, 1), np.float32)
+    while len(h) < n:
+        h = np.block([[h, h], [h, -h]])
+    return h
 
 
-def bitmap(s: np.ndarray) -> bytes:
-    return np.packbits(np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1).tobytes()
+_HALF = _hadamard(math.isqrt(BITS))
+
+
+def wide_fingerprints(sets: list[np.ndarray]) -> np.ndarray:
+    """BITS bits for each set, packed into bytes."""
+    out, side = [np.zeros((0, BITS // 8), np.uint8)], len(_HALF)
+    for lo in range(0, len(sets), 256):
+        part = sets[lo : lo + 256]
+        h = np.concatenate([np.zeros(0, np.uint64), *part])
+        at = np.repeat(np.arange(len(part)), [len(s) for s in part]) * BITS + (h % np.uint64(BITS)).astype(np.int64)
+        v = np.bincount(at, 1.0 - 2.0 * ((h >> np.uint64(40)) & np.uint64(1)).astype(np.float64), len(part) * BITS)
+        v = _HALF @ v.astype(np.float32).reshape(len(part), side, side) @ _HALF
+        out.append(np.packbits(v.reshape(len(part), BITS) > 0, axis=1))
+    return np.concatenate(out)
+
+
+def meets(free: int, differs: float = DIFFERS) -> float:
+    """The probability that a block of CODE and ``free`` bits has the same anchor, if each bit differs
+    with the given probability: the difference of two words at most 1 from one anchor is 0, both of
+    their own steps, or one of them."""
+    n, p, q = CODE, differs, 1 - differs
+    same = q**n + n * p * q ** (n - 1) * 2 / (n + 1) + math.comb(n, 2) * p**2 * q ** (n - 2) * 2 / (n + 1)
+    return same * q**free
+
+
+def layout(classes: int, missed: float = MISSED, homes: int = HOMES) -> tuple[int, int]:
+    """Blocks, and free bits of a block, for so many different sets."""
+    free = max(0, math.ceil(math.log2(max(1, classes / homes))) - (CODE - CODE.bit_length()))
+    return math.ceil(math.log(missed) / math.log(1 - meets(free))), free
+
+
+def anchors(packed: np.ndarray, blocks: int, free: int) -> np.ndarray:
+    """The anchor of every fingerprint in each block, with the block's number on top."""
+    width, rng = CODE + free, np.random.default_rng(64)
+    order = np.concatenate([rng.permutation(BITS) for _ in range(-(-blocks * width // BITS))])[: blocks * width]
+    bits = np.unpackbits(packed, axis=1)[:, order].reshape(len(packed), blocks, width).astype(np.int64)
+    word = bits @ (1 << np.arange(width))
+    # the syndrome is the place of the bit that the nearest word of the code hasn't got
+    check = np.arange(1, CODE + 1)[:, None] >> np.arange(CODE.bit_length()) & 1
+    syndrome = (bits[:, :, :CODE] @ check & 1) @ (1 << np.arange(CODE.bit_length()))
+    word ^= np.where(syndrome > 0, 1 << np.maximum(syndrome - 1, 0), 0)
+    return word + (np.arange(blocks) << width)
+
+
+def at_anchors(classes: DataFrame, blocks: int, free: int) -> DataFrame:
+    """(key, cls, f1, f2) for every class and block; f1 and f2 are the CHECK bits."""
+
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 200):
+                part = b.slice(lo, 200)
+                packed = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, BITS // 8)
+                check = np.ascontiguousarray(packed[:, : CHECK // 8]).view(np.int64)
+                cls = part.column(0).to_numpy()
+                cols = [anchors(packed, blocks, free).reshape(-1), *(np.repeat(x, blocks) for x in (cls, check[:, 0], check[:, 1]))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["key", "cls", "f1", "f2"])
 
+    return classes.select("cls", "wide").mapInArrow(run, "key long, cls long, f1 long, f2 long")
 
-def _possible(n, m, i, j):
-    """Whether sets of n and m shingles that first meet at places i and j can be similar."""
-    return f"5 * least({n}, {m}) >= 4 * greatest({n}, {m}) and 9 * least({n} - {i}, {m} - {j}) >= 4 * ({n} + {m})"
+
+def _near(dealt: DataFrame, forests: bool) -> DataFrame:
+    """Pairs (a, b) within RADIUS and of different components ``c`` at each anchor; and (key, null)
+    where a forest stands for more of them."""
+
+    def run(batches):
+        for t, bounds in groups(batches, ["key", "_tile"]):
+            key, cls, c = (t.column(k).to_numpy() for k in ("key", "cls", "c"))
+            f1, f2 = (t.column(k).to_numpy().view(np.uint64) for k in ("f1", "f2"))
+            home, visitor = (t.column(k).to_numpy() for k in ("home", "visitor"))
+            a, b, dense = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+            for lo, hi in zip(bounds.tolist(), bounds[1:].tolist()):
+                if hi - lo < 2:
+                    continue
+                mine, other = lo + np.flatnonzero(home[lo:hi]), lo + np.flatnonzero(visitor[lo:hi])
+                step, label, pairs = max(1, 1_000_000 // max(1, len(other))), np.arange(hi - lo), 0
+                trees, found = [], []
+                for k in range(0, len(mine), step):
+                    x, y = mine[k : k + step, None], other[None, :]
+                    i, j = np.nonzero((np.bitwise_count(f1[x] ^ f1[y]) + np.bitwise_count(f2[x] ^ f2[y]).astype(np.int64) <= RADIUS) & (cls[x] < cls[y]) & (c[x] != c[y]))
+                    i, j = mine[k + i], other[j]
+                    pairs += len(i)
+                    if forests:
+                        fi, fj, label = forest(hi - lo, i - lo, j - lo, label)
+                        trees.append((fi + lo, fj + lo))
+                    if not forests or pairs <= DENSE * (hi - lo):
+                        found.append((i, j))
+                if forests and pairs > DENSE * (hi - lo):
+                    found = trees
+                    dense.append(int(key[lo]))
+                for i, j in found:
+                    a.append(cls[i])
+                    b.append(cls[j])
+            a, b = np.concatenate(a), np.concatenate(b)
+            if len(a) or dense:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((a, np.array(dense, np.int64)))), pa.array(b.tolist() + [None] * len(dense), pa.int64())], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE) -> DataFrame:
@@ -145,60 +235,37 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scr
     return links
 
 
-def _rest(shared: DataFrame, comp: DataFrame, scratch: Scratch, chunk: int) -> DataFrame:
-    """Candidate pairs (a, b) that aren't in one component yet."""
-    rows = shared.join(comp, F.col("cls") == F.col("id"), "left").select("key", "cls", "n", "at", F.coalesce("component", "cls").alias("c"))
-    by = Window.partitionBy("key")
-    rows = rows.withColumn("lo", F.min("c").over(by)).withColumn("hi", F.max("c").over(by)).where("lo <> hi").drop("lo", "hi")
-    dealt = tiles(scratch, rows.withColumn("home", F.lit(True)), ["key"], "cls", chunk)
-
-    def run(batches):
-        for t, bounds in groups(batches, ["key", "_tile"]):
-            cls, n, at, c = (t.column(k).to_numpy() for k in ("cls", "n", "at", "c"))
-            home, visitor = (t.column(k).to_numpy() for k in ("home", "visitor"))
-            for lo, hi in zip(bounds, bounds[1:]):
-                mine, other = lo + np.flatnonzero(home[lo:hi]), lo + np.flatnonzero(visitor[lo:hi])
-                step = max(1, 1_000_000 // max(1, len(other)))
-                for k in range(0, len(mine), step):
-                    x, y = mine[k : k + step, None], other[None, :]
-                    ok = (cls[x] < cls[y]) & (c[x] != c[y]) & (5 * np.minimum(n[x], n[y]) >= 4 * np.maximum(n[x], n[y]))
-                    ok &= 9 * np.minimum(n[x] - at[x], n[y] - at[y]) >= 4 * (n[x] + n[y])
-                    i, j = np.nonzero(ok)
-                    if len(i):
-                        yield pa.RecordBatch.from_arrays([pa.array(cls[mine[k + i]]), pa.array(cls[other[j]])], ["a", "b"])
-
-    return scratch.save(dealt.mapInArrow(run, "a long, b long").distinct(), "rest")
-
-
-def components(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, chunk: int = CHUNK) -> DataFrame:
+def components(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, chunk: int = CHUNK, missed: float = MISSED) -> DataFrame:
     """(cls, low, c): each class's smallest doc_id, a null one as NULL_ID, and component."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    known = docs.sparkSession.sparkContext.broadcast(frequent(docs, shingle))
-    made = lambda sets: [_classes(sets), pa.array([len(s) for s in sets], pa.int64()), _lists([prefix(s, *known.value) for s in sets]), pa.array([bitmap(s) for s in sets], pa.binary())]
+    made = lambda sets: [_classes(sets), pa.array([len(s) for s in sets], pa.int64()), pa.array([bitmap(s) for s in sets], pa.binary()), pa.array([w.tobytes() for w in wide_fingerprints(sets)], pa.binary())]
     ids = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
-    rows = scratch.save(_with_sets(ids, ("doc_id",), {"cls": "long", "n": "long", "prefix": ArrayType(LongType()), "bits": "binary"}, made, shingle), "prefixes")
-    classes = scratch.save(rows.groupBy("cls").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
-    each = rows.select("cls", "n", "prefix").dropDuplicates(["cls"]).select("cls", "n", F.posexplode("prefix").alias("at", "key"))
-    by = Window.partitionBy("key")
-    shared = each.withColumn("first", F.min(F.struct("cls", "n", "at")).over(by)).withColumn("k", F.count("*").over(by)).where("k > 1")
-    shared = scratch.save(shared.select("key", "cls", "n", F.col("at").cast("long").alias("at"), F.col("first.cls").alias("f"), F.col("first.n").alias("m"), F.col("first.at").cast("long").alias("j")), "shared")
+    rows = scratch.save(_with_sets(ids, ("doc_id",), {"cls": "long", "n": "long", "bits": "binary", "wide": "binary"}, made, shingle), "fingerprints")
+    classes = scratch.save(rows.groupBy("cls").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("wide").alias("wide")), "classes")
     scratch.drop(rows)
-    star = scratch.save(shared.where("f <> cls").where(_possible("n", "m", "at", "j")).select(F.col("f").alias("a"), F.col("cls").alias("b")).distinct(), "star")
-    links = verified(star, classes, docs, scratch, shingle)
-    rest = _rest(shared, connected_components(scratch, links), scratch, chunk)
-    scratch.drop(shared, star)
-    comp = connected_components(scratch, links.unionAll(verified(rest, classes, docs, scratch, shingle)))
+    blocks, free = layout(classes.count(), missed)
+    spread = at_anchors(classes, blocks, free).withColumn("home", F.lit(True))
+    found = scratch.save(_near(tiles(scratch, spread.withColumn("c", F.col("cls")), ["key"], "cls", chunk), True), "met")
+    links = verified(scratch.save(found.where("b is not null").distinct(), "pairs"), classes, docs, scratch, shingle)
+    dense = scratch.save(found.where("b is null").select(F.col("a").alias("k")).distinct(), "dense")
+    if dense.limit(1).count():
+        comp = connected_components(scratch, links)
+        again = spread.join(dense, F.col("key") == F.col("k"), "left_semi").join(comp, F.col("cls") == F.col("id"), "left").select("key", "cls", "f1", "f2", "home", F.coalesce("component", "cls").alias("c"))
+        mixed = again.groupBy(F.col("key").alias("k")).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("k")
+        rest = _near(tiles(scratch, again.join(mixed, F.col("key") == F.col("k"), "left_semi"), ["key"], "cls", chunk), False).distinct()
+        links = links.unionAll(verified(scratch.save(rest, "rest"), classes, docs, scratch, shingle))
+    comp = connected_components(scratch, links)
     of = classes.join(comp, F.col("cls") == F.col("id"), "left").select("cls", "low", F.coalesce("component", "cls").alias("c"))
     return scratch.save(of, "members")
 
 
-def one_of_each(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, chunk: int = CHUNK) -> DataFrame:
+def one_of_each(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, chunk: int = CHUNK, missed: float = MISSED) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component, the smallest doc_id.
 
     Of rows that repeat an id with the same set, one stays; so does one of each set that a
     smallest id repeated over different sets has.
     """
-    of = components(docs, scratch, shingle, chunk)
+    of = components(docs, scratch, shingle, chunk, missed)
     least = scratch.save(of.groupBy("c").agg(F.min("low").alias("least")).withColumnRenamed("c", "c2"), "least")
     kept = of.join(least, (F.col("c") == F.col("c2")) & (F.col("low") == F.col("least"))).select(F.col("low").alias("k"), F.col("cls").alias("f"))
     kept = scratch.save(kept, "kept")
