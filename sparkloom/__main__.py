@@ -1,30 +1,29 @@
-"""python -m sparkloom INPUT_FOLDER STATE_FOLDER [PROPERTIES]: the stream over a folder of parquet files."""
+"""python -m sparkloom [PROPERTIES]: the pipeline as its settings say, until SIGTERM or SIGINT."""
 
 from __future__ import annotations
 
 import signal
 import sys
+import threading
 
 from pyspark.sql import SparkSession
 
 from . import config
-from .functions.metrics import Metrics, serve
-from .schema import RAW
-from .streaming.stream import Pipeline, Supervisor, read_files, start
+from .runner import App
 
 
 def main(args: list[str]) -> None:
-    c = config.load(config.read_properties(args[2]) if len(args) > 2 else None)
+    c = config.load(config.read_properties(args[0]) if args else None)
     spark = SparkSession.builder.appName(c.pipeline_name).config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    metrics = Metrics()
-    pipeline = Pipeline(spark, args[1], c, metrics)
-    server = serve(metrics, lambda: pipeline.ready, c.health_port)
-    supervisor = Supervisor(lambda: start(read_files(spark, args[0], RAW), pipeline), c)
-    signal.signal(signal.SIGTERM, lambda *_: supervisor.stop())
+    app = App(spark, c)
+    server = app.serve()
+    for sign in (signal.SIGTERM, signal.SIGINT):
+        signal.signal(sign, lambda *_: threading.Thread(target=app.stop).start())
     try:
-        supervisor.run()
+        app.run()
     finally:
         server.shutdown()
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -40,25 +40,26 @@ class Config:
     health_port: int = 8080
     shutdown_grace_seconds: int = 30
     deployment_version: str | None = None
+    #: A folder of parquet files to read; without one, the table over JDBC.
+    source_path: str | None = None
+    source_table: str = "app_logs"
+    #: Where state, dead letters and files go.
+    state_path: str = "sparkloom-state"
+    #: ``http`` sends documents to the index server, ``files`` writes them under the state path.
+    sink: str = "http"
 
     def __post_init__(self):
-        rules = (
-            (bool(self.db_url and self.db_url.strip()), "DB_URL is required"),
-            (bool(self.pipeline_name and self.pipeline_name.strip()), "PIPELINE_NAME is required"),
-            (self.batch_size > 0, "BATCH_SIZE must be > 0"),
-            (self.index_sub_batch_size > 0, "INDEX_SUB_BATCH_SIZE must be > 0"),
-            (self.index_max_bytes > 0, "INDEX_MAX_BYTES must be > 0"),
-            (self.bulk_max_attempts >= 1, "BULK_MAX_ATTEMPTS must be >= 1"),
-            (bool(self.es_host and self.es_host.strip()), "ES_HOST is required"),
-            (self.es_port > 0, "ES_PORT must be > 0"),
-            (self.window_seconds > 0, "WINDOW must be a positive duration"),
-            (0 < self.anomaly_ema_alpha <= 1, "EMA_ALPHA must be in (0,1]"),
-            (bool(self.redis_host and self.redis_host.strip()), "REDIS_HOST is required"),
-            (self.run_interval_seconds >= 0, "RUN_INTERVAL must be >= 0"),
-        )
-        for ok, message in rules:
-            if not ok:
-                raise ValueError(f"Invalid configuration: {message}")
+        for name in ("db_url", "pipeline_name", "es_host", "redis_host"):
+            if not (getattr(self, name) or "").strip():
+                raise ValueError(f"Invalid configuration: {name.upper()} is empty")
+        least = {"batch_size": 1, "index_sub_batch_size": 1, "index_max_bytes": 1, "bulk_max_attempts": 1, "es_port": 1, "window_seconds": 1, "run_interval_seconds": 0}
+        for name, bound in least.items():
+            if getattr(self, name) < bound:
+                raise ValueError(f"Invalid configuration: {name.upper()} is {getattr(self, name)}, the least is {bound}")
+        if self.sink not in ("http", "files"):
+            raise ValueError(f"Invalid configuration: SINK is {self.sink!r}, neither 'http' nor 'files'")
+        if not 0 < self.anomaly_ema_alpha <= 1:
+            raise ValueError(f"Invalid configuration: ANOMALY_EMA_ALPHA is {self.anomaly_ema_alpha}, not in (0, 1]")
 
 
 def load(properties: Mapping[str, str] | None = None, environ: Mapping[str, str] | None = None) -> Config:

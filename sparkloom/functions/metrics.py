@@ -63,5 +63,5 @@ def serve(metrics: Metrics, ready: Callable[[], bool], port: int) -> ThreadingHT
             pass
 
     server = ThreadingHTTPServer(("", port), Handler)
-    threading.Thread(target=server.serve_forever, daemon=True, name="health-http").start()
+    threading.Thread(target=server.serve_forever, daemon=True, name="sparkloom-probes").start()
     return server

@@ -72,8 +72,6 @@ def text_fields(c: Column) -> Column:
 
 
 _JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "allowUnquotedFieldNames": "false"}
-#: Objects nested more deeply stay as their JSON text.
-JSON_DEPTH = 6
 
 
 def _entries(c: Column, prefix: Column | None) -> Column:
@@ -87,11 +85,15 @@ def _entries(c: Column, prefix: Column | None) -> Column:
     )
 
 
-def json_fields(c: Column, depth: int = JSON_DEPTH) -> Column:
-    """A JSON object as dotted keys to texts: arrays as JSON, nulls left out; null if malformed."""
+def json_fields(c: Column) -> Column:
+    """A JSON object as dotted keys to texts: arrays as JSON, nulls left out; null if malformed.
+
+    Objects are opened level by level; a text has at most as many levels as opening braces.
+    """
     opened = lambda e: F.when(e["o"], _entries(e["v"], e["k"])).otherwise(F.array(e))
     level = lambda acc, _: F.when(F.exists(acc, lambda e: e["o"]), F.flatten(F.transform(acc, opened))).otherwise(acc)
-    flat = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), _entries(c, None), level)
+    depth = F.length(c) - F.length(F.replace(c, F.lit("{"), F.lit("")))
+    flat = F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), depth)), _entries(c, None), level)
     return F.map_from_entries(F.transform(flat, lambda e: F.struct(e["k"], e["v"])))
 
 

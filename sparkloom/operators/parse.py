@@ -33,11 +33,13 @@ def zoned(naive: Column, zone: str) -> Column:
 
 
 def field_time(raw: Column, zone: str) -> Column:
-    """Epoch seconds, epoch millis (13 digits or more), or ISO time with or without an offset."""
+    """Epoch seconds, epoch millis (13 digits or more), or ISO time with or without an offset.
+
+    Instants after the year 294246 have no timestamp in Spark: they are unparseable.
+    """
     digits = raw.rlike(r"^\d+$")
     number = raw.try_cast("long")
-    far = F.lit(253402300799)  # the last second of year 9999
-    epoch = F.when(F.length(raw) >= 13, F.when(number <= far * 1000, F.timestamp_millis(number))).otherwise(F.when(number <= far, F.timestamp_seconds(number)))
+    epoch = F.when(F.length(raw) >= 13, F.when(number <= ((1 << 63) - 1) // 1000, F.timestamp_millis(number))).otherwise(F.timestamp_seconds(number))
     full = F.when(raw.rlike(r"T\d\d:\d\d($|Z|[+-])"), F.regexp_replace(raw, r"(T\d\d:\d\d)", "$1:00")).otherwise(raw)
     return F.when(digits, epoch).when(raw.rlike(_ISO + r"(Z|[+-]\d\d:\d\d(:\d\d)?)$"), full.try_cast("timestamp")).when(raw.rlike(_ISO + "$"), zoned(full.try_cast("timestamp_ntz"), zone))
 

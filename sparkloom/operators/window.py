@@ -7,7 +7,8 @@ by key come from each event's first and last evaluation; no event is joined with
 it is live in.
 
 Running figures over all arrivals are made in two levels - per id range, and within one - so
-that no task gets more than one range.
+that no task gets more than one range; those along a key, per key and range of evaluations, so
+that a hot key is dealt over many tasks.
 """
 
 from __future__ import annotations
@@ -18,22 +19,26 @@ from pyspark.sql.window import Window as W
 
 from ..sources.scratch import settle
 
-ID_SPAN = 1 << 18
-TIME_SPAN_US = 3_600_000_000
+ID_SPAN = 1 << 14
+TIME_SPAN_US = 60_000_000
+E_SPAN = 1 << 12
 
 
-def running(df: DataFrame, order: Column, bucket: Column, sums: dict[str, Column], maxima: dict[str, Column] | None = None, ties: tuple[Column, ...] = ()) -> DataFrame:
-    """Adds inclusive running sums and maxima along ``order``; ``bucket`` must rise with it."""
+def running(df: DataFrame, order: Column, bucket: Column, sums: dict[str, Column], maxima: dict[str, Column] | None = None, ties: tuple[Column, ...] = (), keys: tuple[str, ...] = ()) -> DataFrame:
+    """Adds inclusive running sums and maxima along ``order``, of each of ``keys``; ``bucket`` must rise with it."""
     maxima = maxima or {}
     df = df.withColumn("_b", bucket)
-    totals = df.groupBy("_b").agg(*(F.sum(c).alias(f"_s_{k}") for k, c in sums.items()), *(F.max(c).alias(f"_m_{k}") for k, c in maxima.items()))
-    before = W.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    carry = totals.select(F.col("_b").alias("_b2"), *(F.coalesce(F.sum(f"_s_{k}").over(before), F.lit(0)).alias(f"_s_{k}") for k in sums), *(F.max(f"_m_{k}").over(before).alias(f"_m_{k}") for k in maxima))
-    inside = W.partitionBy("_b").orderBy(order, *ties).rowsBetween(W.unboundedPreceding, 0)
+    totals = df.groupBy(*keys, "_b").agg(*(F.sum(c).alias(f"_s_{k}") for k, c in sums.items()), *(F.max(c).alias(f"_m_{k}") for k, c in maxima.items()))
+    before = W.partitionBy(*(keys or (F.lit(0),))).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    carry = totals.select(F.col("_b").alias("_b2"), *(F.col(k).alias(f"_k_{k}") for k in keys), *(F.coalesce(F.sum(f"_s_{k}").over(before), F.lit(0)).alias(f"_s_{k}") for k in sums), *(F.max(f"_m_{k}").over(before).alias(f"_m_{k}") for k in maxima))
+    inside = W.partitionBy(*keys, "_b").orderBy(order, *ties).rowsBetween(W.unboundedPreceding, 0)
     df = df.withColumns({f"_i_{k}": F.sum(c).over(inside) for k, c in sums.items()} | {f"_x_{k}": F.max(c).over(inside) for k, c in maxima.items()})
-    df = df.join(carry, F.col("_b") == F.col("_b2"))
+    same = F.col("_b") == F.col("_b2")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    df = df.join(carry, same)
     df = df.withColumns({k: F.col(f"_i_{k}") + F.col(f"_s_{k}") for k in sums} | {k: F.greatest(f"_x_{k}", f"_m_{k}") for k in maxima})
-    return df.drop("_b", "_b2", *(f"_{p}_{k}" for k in sums for p in "si"), *(f"_{p}_{k}" for k in maxima for p in "mx"))
+    return df.drop("_b", "_b2", *(f"_k_{k}" for k in keys), *(f"_{p}_{k}" for k in sums for p in "si"), *(f"_{p}_{k}" for k in maxima for p in "mx"))
 
 
 def by_id(c: str = "id", span: int = ID_SPAN) -> Column:
@@ -41,9 +46,15 @@ def by_id(c: str = "id", span: int = ID_SPAN) -> Column:
 
 
 def number_batches(raw: DataFrame, batch_size: int, span: int = ID_SPAN) -> DataFrame:
-    """Adds batch_id over all raw rows by id, those that won't parse included."""
-    out = running(raw, F.col("id"), by_id(span=span), {"_rn": F.lit(1)})
-    return out.withColumn("batch_id", F.floor((F.col("_rn") - 1) / batch_size)).drop("_rn")
+    """Adds batch_id over all raw rows by id, those that won't parse included.
+
+    Numbers are made from the ids alone, a scan of one column, and joined back; rows that
+    repeat an id are in the batch of the last of them.
+    """
+    ids = raw.groupBy(F.col("id").alias("_id")).agg(F.count("*").alias("_n"))
+    numbers = running(ids, F.col("_id"), by_id("_id", span), {"_rn": F.col("_n")})
+    numbers = numbers.select("_id", F.floor((F.col("_rn") - 1) / batch_size).alias("batch_id"))
+    return raw.join(numbers, F.col("id") == F.col("_id")).drop("_id")
 
 
 def dedupe(events: DataFrame) -> DataFrame:
@@ -99,18 +110,33 @@ def by_key(tracked: DataFrame, evals: DataFrame, window_seconds: int, key: str,
     Every event counts from its own evaluation to the last whose watermark is at most eff + W;
     running sums of these changes hold until the next change.
     """
-    rows = tracked.join(evals.select("batch_id", "e"), "batch_id").groupBy(key, "e", "eff").agg(*(F.sum(c).alias(k) for k, c in sums.items()))
-    rows = settle(rows.withColumn("until", F.col("eff") + seconds(window_seconds)), "rows")
-    last = below(evals.select(F.col("watermark").alias("until")), rows, "until", {"last": F.lit(1)}, strict=False)
-    rows = settle(rows.join(last, "until").where("last >= e"), "lives")
-    begin = rows.select(key, "e", *sums)
-    end = rows.select(key, (F.col("last") + 1).alias("e"), *((-F.col(k)).alias(k) for k in sums))
-    change = begin.unionByName(end).groupBy(key, "e").agg(*(F.sum(k).alias(k) for k in sums))
-    along = W.partitionBy(key).orderBy("e")
-    level = change.select(key, "e", *(F.sum(k).over(along).alias(k) for k in sums), F.lead("e").over(along).alias("_next"))
-    level = level.where(F.col(next(iter(sums))) > 0)
+    rows = tracked.groupBy(key, "batch_id", "eff").agg(*(F.sum(c).alias(k) for k, c in sums.items())).join(evals.select("batch_id", "e"), "batch_id")
+    rows = rows.join(lasting(evals, tracked, window_seconds), "eff").where("last >= e")
+    at = F.explode(F.array(F.struct("e", *(F.col(k) for k in sums)), F.struct((F.col("last") + 1).alias("e"), *((-F.col(k)).alias(k) for k in sums))))
+    change = rows.select(key, at.alias("_c")).select(key, "_c.*").groupBy(key, "e").agg(*(F.sum(k).alias(k) for k in sums))
+    return levels(settle(change, "changes"), key, tuple(sums), having)
+
+
+def lasting(evals: DataFrame, tracked: DataFrame, window_seconds: int) -> DataFrame:
+    """(eff, last): the last evaluation in which an event of that time is live."""
+    ends = tracked.select("eff").distinct().withColumn("until", F.col("eff") + seconds(window_seconds))
+    last = below(evals.select(F.col("watermark").alias("until")), ends, "until", {"last": F.lit(1)}, strict=False)
+    return last.select((F.col("until") - seconds(window_seconds)).alias("eff"), "last")
+
+
+def levels(change: DataFrame, key: str, sums: tuple[str, ...], having: Column | None = None, span: int = E_SPAN) -> DataFrame:
+    """(e, key, *sums): running sums of changes, at every evaluation until the next change where
+    the first one is above 0. A key's changes are worked on per range of ``span`` evaluations."""
+    bucket = F.floor(F.col("e") / span)
+    level = running(change.withColumnsRenamed({k: f"_v_{k}" for k in sums}), F.col("e"), bucket, {k: F.col(f"_v_{k}") for k in sums}, keys=(key,))
+    level = level.withColumn("_r", bucket)
+    first = change.groupBy(F.col(key).alias("_fk"), bucket.alias("_fr")).agg(F.min("e").alias("_first"))
+    first = first.select("_fk", "_fr", F.lead("_first").over(W.partitionBy("_fk").orderBy("_fr")).alias("_later"))
+    level = level.select(key, "e", *sums, "_r", F.lead("e").over(W.partitionBy(key, "_r").orderBy("e")).alias("_soon"))
+    level = level.where(F.col(sums[0]) > 0)
     level = level if having is None else level.where(having)
-    return level.withColumn("e", F.explode(F.sequence("e", F.col("_next") - 1))).drop("_next")
+    level = level.join(first, (F.col(key) == F.col("_fk")) & (F.col("_r") == F.col("_fr")))
+    return level.withColumn("e", F.explode(F.sequence("e", F.coalesce("_soon", "_later") - 1))).select(key, "e", *sums)
 
 
 def errors_by_service(tracked: DataFrame, evals: DataFrame, window_seconds: int, least: int = 1) -> DataFrame:

@@ -184,10 +184,9 @@ def all_documents(spark, sf_dir):
 
 
 def dedupe_replay(spark, sf_dir):
-    """The log followed by a replay of its first 500 ids."""
+    """The log followed by a replay of all of it."""
     raw = _raw(spark, sf_dir)
-    again = raw.unionByName(raw.where("id <= 500"))
-    return window.dedupe(parse.events(parse.parse(again))).groupBy("level").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+    return window.dedupe(parse.events(parse.parse(raw.unionByName(raw)))).groupBy("level").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
 
 
 class _Refusing:
@@ -226,16 +225,7 @@ def delivered(spark, sf_dir):
 def sub_batches(spark, sf_dir):
     """Requests of at most 500 documents and 64 KiB, over each index's documents by id."""
     docs = documents.documents(A.enrich(_analyzed(spark, sf_dir), version="v1"))
-
-    def run(pdf):
-        import pandas as pd
-
-        ops = [delivery.Operation(*r) for r in pdf.sort_values("id")[["es_id", "target_index", "body"]].itertuples(index=False)]
-        got = list(delivery.requests(ops, 500, 1 << 16))
-        return pd.DataFrame({"target_index": [ops[0].target_index] * len(got), "request": range(len(got)), "n_docs": [len(g) for g in got], "n_bytes": [sum(o.n_bytes for o in g) for g in got]})
-
-    docs = docs.withColumn("id", F.substr("es_id", F.lit(8)).cast("long"))
-    return docs.groupBy("target_index").applyInPandas(run, "target_index string, request int, n_docs int, n_bytes long")
+    return delivery.request_sizes(docs.withColumn("id", F.substr("es_id", F.lit(8)).cast("long")), "id", 500, 1 << 16)
 
 
 _QUERIES = (
@@ -295,6 +285,12 @@ _ALERTS = _EMA + r""", alerts as (
   union all select e, watermark, 'SERVICE_ERROR_CONCENTRATION', service, 'CRITICAL', count(*), printf('Service ''%s'' produced %d errors in 86400s', service, count(*)) from live where is_error group by e, watermark, service having count(*) >= 25
   union all select e, watermark, 'FAILED_LOGIN_BURST', ip, 'DEGRADED', count(*), printf('%d failed auth attempts from %s in 86400s', count(*), ip) from live where is_auth and ip is not null group by e, watermark, ip having count(*) >= 20)"""
 
+_PACKED = r""", sized as (select target_index, strlen(body) as size, row_number() over (partition by target_index order by substr(es_id, 8)::bigint) as k from docs),
+packed as (select target_index, k, 0 as request, 1 as n, size as b from sized where k = 1
+  union all select s.target_index, s.k, case when p.n >= 500 or p.b + s.size > 65536 then p.request + 1 else p.request end,
+    case when p.n >= 500 or p.b + s.size > 65536 then 1 else p.n + 1 end, case when p.n >= 500 or p.b + s.size > 65536 then s.size else p.b + s.size end
+  from packed p join sized s on s.target_index = p.target_index and s.k = p.k + 1)"""
+
 _STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
@@ -341,5 +337,6 @@ def oracle_sql() -> dict[str, str]:
             union all select 'alert-' || rule || '-' || subject || '-' || floor(epoch(watermark))::bigint, 'app-alerts-' || strftime(watermark, '%Y.%m.%d') from alerts) group by 1""", _WINDOW, _ALERTS),
         "dedupe_replay": _sql("select level, count(*) as n, sum(id)::bigint as ids from ev group by 1"),
         "retry_triage": _sql("select 'applog-' || id as es_id, 'app-logs-' || strftime(tm, '%Y.%m.%d') as target_index, case when id % 50 = 0 then 400 else 0 end as http_status, case when id % 50 = 0 then 'mapper_parsing_exception' else 'retries exhausted' end as reason from ev where id % 50 < 2"),
+        "sub_batches": _sql("""select target_index, request::int as request, max(n)::int as n_docs, max(b)::bigint as n_bytes from packed group by 1, 2""", _DOCS, _PACKED),
         "delivered": _sql("select count(*) filter (where id % 50 >= 2) as indexed, count(*) filter (where id % 50 < 2) as dead from ev"),
     }

@@ -49,6 +49,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def read_jdbc(spark: SparkSession, c: Config, table: str = "app_logs", low: int = 0, high: int | None = None, parts: int = 8) -> DataFrame:
     """The table over JDBC, split by ranges of its key; the driver's jar must be on the class path."""
     reader = spark.read.format("jdbc").option("url", c.db_url).option("user", c.db_user).option("password", c.db_password).option("dbtable", table)

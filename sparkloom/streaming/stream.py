@@ -20,26 +20,29 @@ from ..functions.metrics import Metrics
 from ..operators import analyze as A
 from ..operators import delivery, detect, documents, parse, window
 from ..sources import app_logs
-from ..sources.state import Checkpoint, Versions, index_dead_letters, parse_dead_letters
+from ..sources.state import Baselines, Checkpoint, MemoryBaselines, Versions, index_dead_letters, parse_dead_letters
 
+BASELINE = "error_rate"
 _LIVE = ("id", "at", "service", "is_error", "is_auth", "ip", "latency_ms", "eff")
 
 
 class Pipeline:
     """Processes micro-batches; ``process`` fits foreachBatch."""
 
-    def __init__(self, spark: SparkSession, path: str, c: Config, metrics: Metrics | None = None, transport: Callable[[], delivery.Transport] | None = None, geo: DataFrame | None = None, segments: DataFrame | None = None):
+    def __init__(self, spark: SparkSession, path: str, c: Config, metrics: Metrics | None = None, transport: Callable[[], delivery.Transport] | None = None, geo: DataFrame | None = None, segments: DataFrame | None = None, baselines: Baselines | None = None):
         parse.prepare(spark)
         self.spark, self.path, self.c, self.metrics, self.transport, self.geo, self.segments = spark, path.rstrip("/"), c, metrics or Metrics(), transport, geo, segments
         self.live, self.meta = Versions(spark, f"{self.path}/state/live"), Versions(spark, f"{self.path}/state/meta")
         self.parse_dead, self.index_dead = parse_dead_letters(spark, f"{self.path}/parse_dead_letter"), index_dead_letters(spark, f"{self.path}/index_dead_letter")
+        self.baselines = MemoryBaselines() if baselines is None else baselines
         self.ready = False
 
     def _state(self, n: int) -> tuple[DataFrame | None, int, float | None]:
-        """Live entries, watermark in microseconds and baseline after batch n."""
+        """Live entries, watermark in microseconds and baseline after batch n; at a start without
+        state, the baseline that was stored last."""
         meta = self.meta.read(n)
         if meta is None:
-            return None, 0, None
+            return None, 0, self.baselines.get(BASELINE)
         row = meta.first()
         return self.live.read(n), row.watermark_us, row.ema
 
@@ -107,6 +110,7 @@ class Pipeline:
             self.metrics.add("alerts.raised", alerts.count())
             if row.total >= c.anomaly_min_events:
                 ema = rate if ema is None else c.anomaly_ema_alpha * rate + (1 - c.anomaly_ema_alpha) * ema
+                self.baselines.set(BASELINE, ema)
             self.meta.write(self.spark.createDataFrame([(mark, ema)], "watermark_us long, ema double"), batch)
         finally:
             both.unpersist()
@@ -129,8 +133,9 @@ class Pipeline:
         self.metrics.add("index.latency", time.time() - began)
 
 
-def catch_up(raw: DataFrame, pipeline: Pipeline, marks: Checkpoint) -> int:
-    """Pages through a table by its key until a short page; returns the rows read.
+def catch_up(raw: DataFrame, pipeline: Pipeline, marks: Checkpoint, stopped: Callable[[], bool] = lambda: False) -> int:
+    """Pages through a table by its key until a short page, or until ``stopped`` says so between
+    pages; returns the rows read.
 
     A page's number is stored with the mark, so a page that failed comes again under the same
     number and replaces what it left. For large backlogs use plans.batch.Flow, which takes all
@@ -152,7 +157,7 @@ def catch_up(raw: DataFrame, pipeline: Pipeline, marks: Checkpoint) -> int:
             pipeline.process(page, number)
             cursor = marks.advance(c.pipeline_name, found.top, pages=number + 1)
             rows += found.n
-            if found.n < c.batch_size:
+            if found.n < c.batch_size or stopped():
                 return rows
         finally:
             page.unpersist()
