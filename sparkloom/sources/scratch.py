@@ -20,4 +20,6 @@ def settle(df: DataFrame, name: str = "t") -> DataFrame:
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
+    made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(made)  # when the driver ends
     return spark.read.schema(df.schema).parquet(path)
