@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import decontaminate, langid, mixing, pii, similar
-from sparkloom.llm.common import Scratch, table
+from sparkloom.llm.common import Scratch, scope, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +58,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark, "pipeline")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = scratch.save(docs, name)
-    return docs
+    last = None
+    for name, stage in STAGES[:-1]:
+        with scope():  # what the stage wrote for itself goes when its result is stored
+            docs = scratch.save(stage(spark, docs, sf_dir), name)
+        if last is not None:
+            scratch.drop(last)
+        last = docs
+    return STAGES[-1][1](spark, docs, sf_dir)

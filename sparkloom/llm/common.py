@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -50,27 +51,70 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables of one operator run in the shared folder. Writing one cuts the lineage."""
+    """Tables of one operator run in the shared folder. Writing one cuts the lineage.
+
+    Results read them, so they stay until ``scope`` ends, or else until the driver does.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         prepare(spark)
         self.spark, self.root, self.n = spark, f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
         self.paths: dict[int, tuple[DataFrame, str]] = {}
+        _ROOTS.append(self)
 
-    def save(self, df: DataFrame, name: str = "t") -> DataFrame:
+    def _path(self, name: str) -> str:
         self.n += 1
-        path = f"{self.root}/{self.n:03d}-{name}"
+        return f"{self.root}/{self.n:03d}-{name}"
+
+    def _folder(self, path: str):
+        found = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return found.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), found
+
+    def _written(self, df: DataFrame, path: str) -> DataFrame:
+        if self.n == 1:
+            files, root = self._folder(self.root)
+            files.deleteOnExit(root)
+        self.paths[id(df)] = (df, path)
+        return df
+
+    def save(self, df: DataFrame, name: str = "t") -> DataFrame:
+        path = self._path(name)
         df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = (out, path)
-        return out
+        return self._written(self.spark.read.schema(df.schema).parquet(path), path)
+
+    def save_by(self, df: DataFrame, key: str, name: str = "t") -> DataFrame:
+        """A table in buckets of ``key``: grouping it by that key moves nothing."""
+        path, n = self._path(name), int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"sparkloom_{name}_{uuid.uuid4().hex[:12]}"
+        df.write.format("parquet").option("path", path).bucketBy(n, key).saveAsTable(table)
+        return self._written(self.spark.table(table), path)
 
     def drop(self, *tables: DataFrame) -> None:
         """Deletes tables that nothing will read again."""
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         for df in tables:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df))[1])
-            path.getFileSystem(conf).delete(path, True)
+            files, path = self._folder(self.paths.pop(id(df))[1])
+            files.delete(path, True)
+
+    def close(self) -> None:
+        """Deletes all tables."""
+        files, root = self._folder(self.root)
+        files.delete(root, True)
+        self.paths.clear()
+
+
+_ROOTS: list[Scratch] = []
+
+
+@contextmanager
+def scope() -> Iterator[None]:
+    """Deletes, at its end, what operators called in it wrote; their results must be stored by then."""
+    before = len(_ROOTS)
+    try:
+        yield
+    finally:
+        for made in _ROOTS[before:]:
+            made.close()
+        del _ROOTS[before:]
 
 
 def text_arrays(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -3,7 +3,8 @@
 Operators that need a figure from the whole corpus for each of very many keys (n-grams,
 repeated passages) work in three steps:
 
-- ``pack`` writes the documents as blocks of about BLOCK_BYTES of text, one compressed row each;
+- ``pack`` writes the documents as blocks of about BLOCK_BYTES of text, one compressed row each,
+  in buckets of the block's number, so that blocks don't move when answers come to them;
 - ``route`` sends every block's distinct sorted keys, with values, to buckets of the key range,
   combines them there, and sends back per key what the block needs, in the block's own order;
 - ``gather`` brings each block together with what came back, and runs a function on it.
@@ -27,6 +28,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import NULL_ID, Scratch, groups, ids, slices, text_arrays
 
@@ -110,7 +113,7 @@ def pack(docs: DataFrame, scratch: Scratch, flag: Column | None = None, apart: C
             if held[c]:
                 yield from full(c, 0)
 
-    return scratch.save(docs.mapInArrow(run, "block long, cls int, blob binary"), "blocks")
+    return scratch.save_by(docs.mapInArrow(run, "block long, cls int, blob binary"), "block", "blocks")
 
 
 def n_buckets(blocks: int) -> int:
@@ -226,26 +229,24 @@ def gather(blocks: DataFrame, backs: list[DataFrame], scratch: Scratch, run: Cal
                     yield from run(number, Block(blob.as_py()), [])
 
         return blocks.select("block", "blob").mapInArrow(alone, schema)
-    both = blocks.select("block", F.lit(-1).alias("src"), F.lit(-1).cast("long").alias("bucket"), F.col("blob").alias("message"))
+    answers, sources = None, len(backs)
     for k, back in enumerate(backs):
-        both = both.unionAll(back.select("block", F.lit(k).alias("src"), "bucket", "message"))
-
-    sources = len(backs)
-
-    def together(batches):
-        for t, bounds in groups(batches, ["block"]):
-            for lo, hi in zip(bounds, bounds[1:]):
-                g = t.slice(lo, hi - lo)
-                src, bucket = g.column("src").to_pylist(), g.column("bucket").to_pylist()
-                if src[0] != -1:
-                    continue
-                replies: list[dict[int, list[np.ndarray]]] = [{} for _ in range(sources)]
-                for k in range(1, len(g)):
-                    replies[src[k]][bucket[k]] = dec(g.column("message")[k].as_py())
-                yield from run(g.column("block")[0].as_py(), Block(g.column("message")[0].as_py()), replies)
-
-    n = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
-    return both.repartition(n, "block").sortWithinPartitions("block", "src", "bucket").mapInArrow(together, schema)
+        one = back.select("block", F.lit(k).alias("src"), "bucket", "message")
+        answers = one if answers is None else answers.unionAll(one)
+    names = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    kinds = to_arrow_schema(names)
+
+    def together(mine: pa.Table, told: pa.Table) -> pa.Table:
+        out = []
+        if len(mine):
+            order = told.sort_by([("src", "ascending"), ("bucket", "ascending")])
+            replies: list[dict[int, list[np.ndarray]]] = [{} for _ in range(sources)]
+            for src, bucket, message in zip(order.column("src").to_pylist(), order.column("bucket").to_pylist(), order.column("message")):
+                replies[src][bucket] = dec(message.as_py())
+            out = list(run(mine.column("block")[0].as_py(), Block(mine.column("blob")[0].as_py()), replies))
+        return pa.concat_tables([kinds.empty_table(), *(pa.Table.from_batches([b]).cast(kinds) for b in out)])
+
+    return blocks.select("block", "blob").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(together, names)
 
 
 def whole(reply: dict[int, list[np.ndarray]], kinds: list) -> list[np.ndarray]:

@@ -10,9 +10,10 @@ weights maximise its likelihood. For scoring, all training counts are used.
 Counts cover all training documents. They travel by the packed exchange: each block of
 documents sends its distinct tokens and pairs, and gets the corpus counts of these back; so
 a common word costs one entry a block. EM works on a table of bounded size: the held-out
-tokens by context bucket and by both log estimates, in steps of STEP decimal digits down to
-LOWEST, which is below one in 1e20 tokens. Only learning sees the steps, scoring doesn't; a
-test holds the learned weights against those from exact estimates.
+tokens by context bucket and by both estimates, in cells of STEP decimal digits down to LOWEST,
+below one in 1e20 tokens; the tokens of a cell count with their mean log estimates (summed in
+millionths, so that reruns agree). Only learning sees the cells, scoring doesn't; a test holds
+the learned weights against those from exact estimates.
 
 Tokens are told apart by 64 bits of hash. Edge cases: null and empty texts are one end
 token; repeated rows count and are scored each; a null doc_id hashes as an empty one; without
@@ -109,17 +110,23 @@ def _estimates(block: Block, arrays: list[np.ndarray], docs: int, fold_docs: int
     return bounds, single, single_fold, pair, pair_fold, _context(token, single, bounds, docs), _context(token, single_fold, bounds, fold_docs)
 
 
-def learn(table: list[tuple[int, int, int, int]], unseen: float, steps: int = 200) -> np.ndarray:
-    """EM over (bucket, pair step, single step, n): weights [bucket, 3] of pair, single, uniform.
+def cells(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cell of each estimate, 0 if it is zero, and its logarithm in millionths."""
+    log = np.log10(np.where(f > 0, f, 1.0))
+    return np.where(f > 0, np.maximum(1, np.rint((log - LOWEST) / STEP) + 1), 0).astype(np.int64), np.rint(log * 1e6).astype(np.int64)
 
-    Step 0 is a zero estimate. Buckets without held-out tokens take the nearest one's weights.
+
+def learn(table: list[tuple[int, float, float, int]], unseen: float, steps: int = 200) -> np.ndarray:
+    """EM over (bucket, pair estimate, single estimate, n): weights [bucket, 3] of pair, single, uniform.
+
+    Buckets without held-out tokens take the nearest one's weights.
     """
     w = np.tile(np.array([0.4, 0.5, 0.1]), (BUCKETS, 1))
     w[0] = [0, 0.9, 0.1]
     if not table:
         return w
-    b, q2, q1, n = (np.array(x, np.float64 if k == 3 else np.int64) for k, x in enumerate(zip(*table)))
-    p = np.stack([np.where(q2 > 0, 10 ** (LOWEST + STEP * (q2 - 1)), 0), np.where(q1 > 0, 10 ** (LOWEST + STEP * (q1 - 1)), 0), np.full(len(b), unseen)], axis=1)
+    b, f2, f1, n = (np.array(x, np.float64 if k else np.int64) for k, x in enumerate(zip(*table)))
+    p = np.stack([f2, f1, np.full(len(b), unseen)], axis=1)
     for _ in range(steps):
         share = w[b] * p
         share *= (n / share.sum(axis=1))[:, None]
@@ -150,15 +157,16 @@ def score(docs: DataFrame, scratch: Scratch) -> DataFrame:
         with np.errstate(divide="ignore", invalid="ignore"):
             f2 = np.where(rest > 0, (pair - pair_fold) / rest, 0)
             f1 = (single - single_fold) / max(1, n - n_fold)
-            step = lambda f: np.where(f > 0, np.maximum(1, np.rint((np.log10(f) - LOWEST) / STEP) + 1), 0).astype(np.int64)
-            key = (bucket(rest) * 256 + step(f2)) * 256 + step(f1)
-        u, c = np.unique(key, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c)], ["key", "n"])
+        (c2, l2), (c1, l1) = cells(f2), cells(f1)
+        u, first, c = np.unique((bucket(rest) * 256 + c2) * 256 + c1, return_inverse=True, return_counts=True)
+        add = lambda x: np.bincount(first, x, len(u)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(c), pa.array(add(l2)), pa.array(add(l1))], ["key", "n", "l2", "l1"])
 
     held = blocks.where("cls = 1")
     own = back.join(F.broadcast(held.select("block")) if held.count() < 100_000 else held.select("block"), "block", "left_semi")
-    counts = gather(held, [own], scratch, held_out_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    weights = learn([(r.key >> 16, r.key >> 8 & 255, r.key & 255, r.n) for r in counts.orderBy("key").collect()], 1 / (v + 1))
+    counts = gather(held, [own], scratch, held_out_counts, "key long, n long, l2 long, l1 long").groupBy("key").agg(*(F.sum(c).alias(c) for c in ("n", "l2", "l1")))
+    mean = lambda cell, log, n: 10 ** (log / n / 1e6) if cell else 0.0
+    weights = learn([(r.key >> 16, mean(r.key >> 8 & 255, r.l2, r.n), mean(r.key & 255, r.l1, r.n), r.n) for r in counts.orderBy("key").collect()], 1 / (v + 1))
     if n == 0:
         weights[:] = [0, 0, 1]
 
@@ -181,3 +189,19 @@ def op10_ngram_score(spark, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
+def ngram_base_score(spark, sf_dir: str) -> DataFrame:
+    """What op10_ngram_score returns beside the model's score, which SQL can express."""
+    return op10_ngram_score(spark, sf_dir).drop("score").withColumn("base_score", F.round("base_score", 6))
+
+
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))))"""
+ORACLE = rf"""
+with d as (select doc_id, {_CRC} % 7 = 2 as held_out, list_append(list_transform(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'),
+    lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')), ' ') as w from documents),
+t as (select doc_id, held_out, unnest(w) as w from d),
+c as (select w, count(*) as c from t where not held_out group by w),
+s as (select coalesce(sum(c), 0)::bigint as n, count(*) as v from c)
+select doc_id, any_value(held_out) as held_out, count(*) as n_tokens, count(c.c) as n_known, any_value(n) as train_tokens, round(sum(log10((coalesce(c.c, 0) + 1) / (n + v + 1))), 6) as base_score
+from t left join c using (w), s group by doc_id
+"""

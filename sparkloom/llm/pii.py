@@ -451,3 +451,29 @@ def redacted(text: str, spans: list[Span]) -> str:
 def op1_pii(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return find(docs, fit(docs))
+
+
+def pii_base_spans(spark, sf_dir: str) -> DataFrame:
+    """What op1_pii returns of the base spans, which SQL can express."""
+    return op1_pii(spark, sf_dir).drop("spans")
+
+
+def _sql_kind(kind: str, pattern: str, good: str, rank: int) -> str:
+    """Matches m of one pattern with their places: all pieces between them tell the starts."""
+    return f"""select doc_id, '{kind}' as kind, {rank} as rank, m, s from (
+      select doc_id, unnest(ms) as m, unnest(list_transform(range(1, len(ms) + 1), lambda i: list_sum(list_transform(ps[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda p: length(p))), 0))) as s
+      from (select doc_id, regexp_extract_all(t, '{pattern}') as ms, string_split_regex(t, '{pattern}') as ps from d) where len(ms) > 0) where {good}"""
+
+
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+ORACLE = f"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+b as ({_sql_kind('email', r'[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+', 'true', 0)}
+  union all {_sql_kind('ip', r'[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)', "list_max(list_transform(string_split(m, '.'), lambda p: p::hugeint)) <= 255", 1)}
+  union all {_sql_kind('card', r'[0-9](?:[\x20-]?[0-9])+', f"length({_DIGITS}) between 12 and 19 and list_sum(list_transform(range(0, length({_DIGITS})), lambda i: case when i % 2 = 0 then reverse({_DIGITS})[i + 1]::int else 2 * reverse({_DIGITS})[i + 1]::int - case when reverse({_DIGITS})[i + 1]::int > 4 then 9 else 0 end end)) % 10 = 0", 2)}
+  union all {_sql_kind('phone', r'\+[0-9][\x20().0-9-]+[0-9]', f"length({_DIGITS}) between 9 and 15", 3)}),
+g as (select doc_id, count(*) filter (where kind = 'email') as n_email, count(*) filter (where kind = 'ip') as n_ip, count(*) filter (where kind = 'card') as n_card, count(*) filter (where kind = 'phone') as n_phone,
+        string_agg(kind || ':' || s::bigint || ':' || (s + length(m))::bigint, ',' order by s, rank) as spans from b group by doc_id)
+select d.doc_id, coalesce(n_email, 0) as n_email, coalesce(n_ip, 0) as n_ip, coalesce(n_card, 0) as n_card, coalesce(n_phone, 0) as n_phone, sha256(coalesce(spans, '')) as base_sha256
+from d left join g using (doc_id)
+"""

@@ -17,8 +17,10 @@ def queries() -> dict:
         "op8_suffix_array_dedup": suffix_array.op8_suffix_array_dedup,
         "op9_substring_dedup": suffix_tree.op9_substring_dedup,
         "op10_ngram_score": ngram.op10_ngram_score,
+        "pii_base_spans": pii.pii_base_spans,
+        "ngram_base_score": ngram.ngram_base_score,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_lattice_near_dedup": lattice.ORACLE, "op6_mixing": mixing.ORACLE, "op9_substring_dedup": suffix_tree.ORACLE}
+    return {"op3_lattice_near_dedup": lattice.ORACLE, "op6_mixing": mixing.ORACLE, "op8_suffix_array_dedup": suffix_array.ORACLE, "op9_substring_dedup": suffix_tree.ORACLE, "pii_base_spans": pii.ORACLE, "ngram_base_score": ngram.ORACLE}

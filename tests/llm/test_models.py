@@ -210,8 +210,8 @@ def test_ngram_scores(spark):
 def test_mixture_weights_are_learned():
     truth, rng = (0.7, 0.2, 0.1), np.random.default_rng(0)
     table = []
-    for q2, q1 in ((91, 71), (0, 81), (111, 61)):
-        table.append((5, q2, q1, 1000 * (truth[0] * (10 ** (-12 + 0.1 * (q2 - 1)) if q2 else 0) + truth[1] * 10 ** (-12 + 0.1 * (q1 - 1)) + truth[2] * 1e-5)))
+    for f2, f1 in ((1e-3, 1e-5), (0, 1e-4), (0.1, 1e-6)):
+        table.append((5, f2, f1, 1000 * (truth[0] * f2 + truth[1] * f1 + truth[2] * 1e-5)))
     w = ngram.learn(table, 1e-5)
     assert np.allclose(w.sum(axis=1), 1) and w[0, 0] == 0 and (w[4] == w[5]).all() and rng is not None
 
