@@ -17,12 +17,14 @@ a similarity of exactly 4/5 unmet with a probability of at most MISSED, and as m
 leave an anchor about HOMES texts, so that comparisons don't grow with the square of the table.
 More similar pairs are missed by far more rarely; tests measure both.
 
-Texts at one anchor are compared by CHECK bits of the fingerprint, within RADIUS. All the pairs
-found are verified: first by bitmaps, in which every shingle of a set flips one of BITS bits
+Texts at one anchor are compared by CHECK bits of the fingerprint, within RADIUS, and the anchor
+reports a spanning forest of the near pairs, the nearest first: never more pairs than texts.
+These are verified: first by bitmaps, in which every shingle of a set flips one of BITS bits
 (similar sets differ in at most a ninth of their sizes' sum, so their bitmaps in no more bits),
-then by the whole sets. Where an anchor has many more near pairs than texts, at first only a
-spanning forest of them is verified, and then those pairs that the links found don't already
-make one component, so that dense groups of near copies don't grow with their square.
+then by the whole sets. Texts that the forests connect are a neighbourhood. Where the verified
+links leave one in several components, its sets meet in tiles of bounded size, and the task
+compares those of different components in the same way and reports a forest of the links. So
+near copies by the thousand cost their number in rows, and no pair that is near is left out.
 
 Texts of one set are one class, known by a 64-bit hash of the set. Edge cases: null and empty
 texts and texts without words have the empty set and are one class; repeated rows of an id
@@ -45,8 +47,6 @@ SHINGLE = 5
 CHUNK, BITS = 2000, 1024
 CODE, HOMES, MISSED = 15, 64, 0.01
 CHECK, RADIUS = 128, 32
-#: Pairs that an anchor reports for each of its texts before it reports a forest only.
-DENSE = 8
 #: The probability that a bit differs between sets at a similarity of exactly 4/5.
 DIFFERS = math.acos(8 / 9) / math.pi
 
@@ -167,45 +167,76 @@ def at_anchors(classes: DataFrame, blocks: int, free: int) -> DataFrame:
     return classes.select("cls", "wide").mapInArrow(run, "key long, cls long, f1 long, f2 long")
 
 
-def _near(dealt: DataFrame, forests: bool) -> DataFrame:
-    """Pairs (a, b) within RADIUS and of different components ``c`` at each anchor; and (key, null)
-    where a forest stands for more of them."""
+def near_forest(dealt: DataFrame) -> DataFrame:
+    """Pairs (a, b) within RADIUS at each anchor, a spanning forest of them, the nearest first."""
 
     def run(batches):
         for t, bounds in groups(batches, ["key", "_tile"]):
-            key, cls, c = (t.column(k).to_numpy() for k in ("key", "cls", "c"))
+            cls, home, visitor = (t.column(k).to_numpy() for k in ("cls", "home", "visitor"))
             f1, f2 = (t.column(k).to_numpy().view(np.uint64) for k in ("f1", "f2"))
-            home, visitor = (t.column(k).to_numpy() for k in ("home", "visitor"))
-            a, b, dense = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for lo, hi in zip(bounds.tolist(), bounds[1:].tolist()):
                 if hi - lo < 2:
                     continue
                 mine, other = lo + np.flatnonzero(home[lo:hi]), lo + np.flatnonzero(visitor[lo:hi])
-                step, label, pairs = max(1, 1_000_000 // max(1, len(other))), np.arange(hi - lo), 0
-                trees, found = [], []
+                step, label = max(1, 1_000_000 // max(1, len(other))), np.arange(hi - lo)
                 for k in range(0, len(mine), step):
                     x, y = mine[k : k + step, None], other[None, :]
-                    i, j = np.nonzero((np.bitwise_count(f1[x] ^ f1[y]) + np.bitwise_count(f2[x] ^ f2[y]).astype(np.int64) <= RADIUS) & (cls[x] < cls[y]) & (c[x] != c[y]))
-                    i, j = mine[k + i], other[j]
-                    pairs += len(i)
-                    if forests:
-                        fi, fj, label = forest(hi - lo, i - lo, j - lo, label)
-                        trees.append((fi + lo, fj + lo))
-                    if not forests or pairs <= DENSE * (hi - lo):
-                        found.append((i, j))
-                if forests and pairs > DENSE * (hi - lo):
-                    found = trees
-                    dense.append(int(key[lo]))
-                for i, j in found:
-                    a.append(cls[i])
-                    b.append(cls[j])
+                    apart = np.bitwise_count(f1[x] ^ f1[y]) + np.bitwise_count(f2[x] ^ f2[y])
+                    i, j = np.nonzero((apart <= RADIUS) & (cls[x] < cls[y]))
+                    apart = apart[i, j]
+                    i, j = mine[k + i] - lo, other[j] - lo
+                    for d in np.unique(apart):
+                        fi, fj, label = forest(hi - lo, i[apart == d], j[apart == d], label)
+                        a.append(cls[lo + fi])
+                        b.append(cls[lo + fj])
             a, b = np.concatenate(a), np.concatenate(b)
-            if len(a) or dense:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((a, np.array(dense, np.int64)))), pa.array(b.tolist() + [None] * len(dense), pa.int64())], ["a", "b"])
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def linked_in_tiles(dealt: DataFrame) -> DataFrame:
+    """A forest of the links (a, b) between the sets of each neighbourhood that are of different components ``c``."""
+
+    def run(batches):
+        for t, bounds in groups(batches, ["g", "_tile"]):
+            for lo, hi in zip(bounds.tolist(), bounds[1:].tolist()):
+                part = t.slice(lo, hi - lo)
+                cls, c, home, visitor = (part.column(k).to_numpy() for k in ("cls", "c", "home", "visitor"))
+                sets = [np.frombuffer(v, np.uint64) for v in part.column("s").to_pylist()]
+                size, label = np.array([len(v) for v in sets]), np.unique(c, return_inverse=True)[1]
+                bits = np.frombuffer(b"".join(map(bitmap, sets)), np.uint64).reshape(len(sets), -1)
+                mine, other = np.flatnonzero(home), np.flatnonzero(visitor)
+                step, found = max(1, 100_000 // max(1, len(other))), []
+                for k in range(0, len(mine), step):
+                    x, y = mine[k : k + step], other
+                    i, j = np.nonzero((label[x][:, None] != label[y][None, :]) & (cls[x][:, None] != cls[y][None, :]) & (5 * np.minimum(size[x][:, None], size[y][None, :]) >= 4 * np.maximum(size[x][:, None], size[y][None, :])))
+                    i, j = x[i], y[j]
+                    apart = np.zeros(len(i), np.int64)
+                    for w in range(bits.shape[1]):
+                        apart += np.bitwise_count(bits[i, w] ^ bits[j, w])
+                    near = np.flatnonzero(9 * apart <= size[i] + size[j])
+                    for n in near[np.argsort(apart[near], kind="stable")].tolist():
+                        u, v = int(i[n]), int(j[n])
+                        if label[u] != label[v] and similar(sets[u], sets[v]):
+                            label[label == label[u]] = label[v]
+                            found.append((int(cls[u]), int(cls[v])))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def sets_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch, shingle: int) -> DataFrame:
+    """(cls, s) of the classes (w): their whole sets, from one text of each."""
+    lows = scratch.save(classes.join(wanted, F.col("cls") == F.col("w"), "left_semi").select(F.col("low").alias("l")).distinct(), "lows")
+    texts = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), "text").join(lows, F.col("_id") == F.col("l"), "left_semi")
+    sets = _with_sets(texts, (), {"cls": "long", "s": "binary"}, lambda sets: [_classes(sets), pa.array([s.tobytes() for s in sets], pa.binary())], shingle)
+    return scratch.save(sets.join(wanted, F.col("cls") == F.col("w"), "left_semi").dropDuplicates(["cls"]), "sets")
+
+
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE) -> DataFrame:
     """Of pairs (a, b) of classes, those whose sets are similar."""
     side = lambda x: classes.select(F.col("cls").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"s{x}"))
@@ -219,10 +250,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scr
 
     pairs = scratch.save(near.mapInArrow(sift, "a long, b long"), "sifted")
     wanted = scratch.save(pairs.select(F.col("a").alias("w")).unionAll(pairs.select(F.col("b").alias("w"))).distinct(), "wanted")
-    lows = scratch.save(classes.join(wanted, F.col("cls") == F.col("w"), "left_semi").select(F.col("low").alias("l")).distinct(), "lows")
-    texts = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), "text").join(lows, F.col("_id") == F.col("l"), "left_semi")
-    sets = _with_sets(texts, (), {"cls": "long", "s": "binary"}, lambda sets: [_classes(sets), pa.array([s.tobytes() for s in sets], pa.binary())], shingle)
-    sets = scratch.save(sets.join(wanted, F.col("cls") == F.col("w"), "left_semi").dropDuplicates(["cls"]), "sets")
+    sets = sets_of(wanted, classes, docs, scratch, shingle)
     rows = pairs.join(sets.select(F.col("cls").alias("ca"), F.col("s").alias("sa")), F.col("a") == F.col("ca")).join(sets.select(F.col("cls").alias("cb"), F.col("s").alias("sb")), F.col("b") == F.col("cb"))
 
     def run(batches):
@@ -231,7 +259,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scr
             yield b.select(["a", "b"]).filter(pa.array([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in sets], pa.bool_()))
 
     links = scratch.save(rows.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"), "links")
-    scratch.drop(sets, lows, wanted, pairs)
+    scratch.drop(sets, wanted, pairs)
     return links
 
 
@@ -245,15 +273,17 @@ def components(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, chunk:
     scratch.drop(rows)
     blocks, free = layout(classes.count(), missed)
     spread = at_anchors(classes, blocks, free).withColumn("home", F.lit(True))
-    found = scratch.save(_near(tiles(scratch, spread.withColumn("c", F.col("cls")), ["key"], "cls", chunk), True), "met")
-    links = verified(scratch.save(found.where("b is not null").distinct(), "pairs"), classes, docs, scratch, shingle)
-    dense = scratch.save(found.where("b is null").select(F.col("a").alias("k")).distinct(), "dense")
-    if dense.limit(1).count():
-        comp = connected_components(scratch, links)
-        again = spread.join(dense, F.col("key") == F.col("k"), "left_semi").join(comp, F.col("cls") == F.col("id"), "left").select("key", "cls", "f1", "f2", "home", F.coalesce("component", "cls").alias("c"))
-        mixed = again.groupBy(F.col("key").alias("k")).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("k")
-        rest = _near(tiles(scratch, again.join(mixed, F.col("key") == F.col("k"), "left_semi"), ["key"], "cls", chunk), False).distinct()
-        links = links.unionAll(verified(scratch.save(rest, "rest"), classes, docs, scratch, shingle))
+    near = scratch.save(near_forest(tiles(scratch, spread, ["key"], "cls", chunk)).distinct(), "near")
+    links = verified(near, classes, docs, scratch, shingle)
+    around = connected_components(scratch, near).select(F.col("id").alias("cls"), F.col("component").alias("g"))
+    around = around.join(connected_components(scratch, links), F.col("cls") == F.col("id"), "left").select("cls", "g", F.coalesce("component", "cls").alias("c"))
+    around = scratch.save(around, "around")
+    mixed = around.groupBy(F.col("g").alias("mixed")).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("mixed")
+    rest = scratch.save(around.join(mixed, F.col("g") == F.col("mixed"), "left_semi"), "rest")
+    if rest.limit(1).count():
+        sets = sets_of(rest.select(F.col("cls").alias("w")), classes, docs, scratch, shingle)
+        met = rest.join(sets.select(F.col("cls").alias("of"), "s"), F.col("cls") == F.col("of")).select("g", "cls", "c", "s", F.lit(True).alias("home"))
+        links = links.unionAll(scratch.save(linked_in_tiles(tiles(scratch, met, ["g"], "cls", chunk)), "more"))
     comp = connected_components(scratch, links)
     of = classes.join(comp, F.col("cls") == F.col("id"), "left").select("cls", "low", F.coalesce("component", "cls").alias("c"))
     return scratch.save(of, "members")
