@@ -31,9 +31,13 @@ SCRUBS = (
 )
 
 
+# White space as the JVM has it - separators but no-break ones, and controls.
+WHITE_SPACE = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2008\u2009\u200a\u2028\u2029\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    """Removes Unicode white space (not no-break space) from both ends."""
-    return F.regexp_replace(c, r"^\p{javaWhitespace}+|\p{javaWhitespace}+$", "")
+    """Removes Unicode white space (not no-break space) from both ends; looks at the ends only."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -108,6 +112,13 @@ def scrub(c: Column) -> Column:
     return strip(c)
 
 
+def scrub_lines(c: Column) -> Column:
+    """``scrub`` of each of the stripped lines between line feeds, over the whole text at once."""
+    for pattern, to in SCRUBS:
+        c = F.regexp_replace(c, r"[ \t]+" if pattern == r"\s+" else pattern, to)
+    return c
+
+
 def instant_text(c: Column) -> Column:
     """ISO instant with 0, 3 or 6 digits of fraction."""
     return F.concat(F.regexp_replace(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"(\.000000|000)$", ""), F.lit("Z"))

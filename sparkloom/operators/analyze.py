@@ -40,7 +40,7 @@ def stack_signature(stack: Column, frames: int = STACK_FRAMES) -> Column:
     lines = F.filter(F.transform(F.split(stack, r"\R"), X.strip), lambda s: s != "")
     begin = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("kept"))
     step = lambda acc, s: F.when(acc["n"] >= frames, acc).otherwise(F.struct((acc["n"] + F.when(s.startswith("at "), 1).otherwise(0)).alias("n"), F.concat(acc["kept"], F.array(s)).alias("kept")))
-    return F.array_join(F.transform(F.aggregate(lines, begin, step)["kept"], X.scrub), "\n")
+    return X.scrub_lines(F.array_join(F.aggregate(lines, begin, step)["kept"], "\n"))
 
 
 def fingerprint(stack: Column, exception: Column, service: Column, message: Column) -> Column:

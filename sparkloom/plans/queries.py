@@ -26,7 +26,7 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed(spark, sf_dir):
-    return parse.parse(_raw(spark, sf_dir))
+    return parse.parse(app_logs.spread(_raw(spark, sf_dir)))
 
 
 def _analyzed(spark, sf_dir):

@@ -45,6 +45,13 @@ def fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(FIXTURE_SQL.replace("from events", "from sparkloom_events"))
 
 
+def spread(raw: DataFrame) -> DataFrame:
+    """Deals a table with fewer splits than the cluster has cores over all of them, as parsing is
+    work for the processor; a larger one stays as it is."""
+    cores = raw.sparkSession.sparkContext.defaultParallelism
+    return raw.repartition(cores) if raw._jdf.queryExecution().toRdd().getNumPartitions() < cores // 2 else raw
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW).parquet(path)
 

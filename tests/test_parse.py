@@ -1,8 +1,11 @@
 import datetime as dt
 import json
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from sparkloom.functions import text as X
 from sparkloom.operators import analyze as A
 from sparkloom.operators import documents, parse
 from sparkloom.schema import DOCUMENT, RAW
@@ -128,3 +131,32 @@ def test_documents(spark):
     assert back["applog-5"].sourceId == 5 and back["applog-5"].severity == "CRITICAL" and back["applog-6"].synthetic is False
     mapped = documents.index_template()["template"]["mappings"]["properties"]
     assert list(mapped) == DOCUMENT.names and mapped["ip"]["ignore_malformed"] and mapped["statusCode"] == {"type": "integer"} and mapped["fields"] == {"type": "object", "dynamic": True}
+
+
+def test_white_space_is_that_of_the_jvm(spark):
+    every = [chr(c) for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame([(c,) for c in every], "c string")
+    got = df.select("c", (X.strip(F.col("c")) == "").alias("a"), F.col("c").rlike(r"^\p{javaWhitespace}$").alias("b")).where("a <> b").collect()
+    assert got == []
+    one = spark.createDataFrame([("\t a b\u2003\n",), ("",), (None,), ("\u00a0x ",)], "c string").select(X.strip(F.col("c")).alias("s")).collect()
+    assert [r.s for r in one] == ["a b", "", None, "\u00a0x"]
+
+
+def test_lines_are_scrubbed_at_once(spark):
+    rng = random.Random(3)
+    texts = ["\n".join("".join(rng.choice(["at ", "x", "12", ":7", "@ab", "0xF", " ", "\t", "$$Lambda$1/0xa", "é", "\u2003"]) for _ in range(rng.randint(0, 8))).strip() for _ in range(4)) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    each = F.array_join(F.transform(F.split("c", "\n"), X.scrub), "\n")
+    assert df.where(X.scrub_lines(F.col("c")) != each).count() == 0
+
+
+def test_json_of_any_depth(spark):
+    deep = '{"a":' * 30 + '{"b": 1, "c": "{"}' + "}" * 30
+    r = parsed(spark, row(message=deep))[1]
+    assert r.fields == {".".join("a" * 30) + ".b": "1", ".".join("a" * 30) + ".c": "{"} and r.parse_error is None
+
+
+def test_times_after_the_year_9999(spark):
+    df = parse.parse(spark.createDataFrame([row(i=k, ts=None, message=m) for k, m in ((1, "ts=253402300800"), (2, "ts=999999999999999"), (3, "ts=9223372036854775807"))], RAW))
+    got = {r.id: (r.ms, r.parse_error is None) for r in df.select("id", F.unix_millis("at").alias("ms"), "parse_error").collect()}
+    assert got == {1: (253402300800000, True), 2: (999999999999999, True), 3: (None, False)}
