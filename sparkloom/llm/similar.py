@@ -44,9 +44,10 @@ from .common import LOWER, NULL_ID, Scratch, connected_components, forest, group
 from .decontaminate import shingles
 
 SHINGLE = 5
-CHUNK, BITS = 2000, 1024
+#: Rows of an anchor, and whole sets, that a tile has on a side.
+CHUNK, SETS, BITS = 2000, 500, 1024
 CODE, HOMES, MISSED = 15, 64, 0.01
-CHECK, RADIUS = 128, 32
+CHECK, RADIUS, LEAST = 128, 32, 4
 #: The probability that a bit differs between sets at a similarity of exactly 4/5.
 DIFFERS = math.acos(8 / 9) / math.pi
 
@@ -151,6 +152,12 @@ def anchors(packed: np.ndarray, blocks: int, free: int) -> np.ndarray:
     return word + (np.arange(blocks) << width)
 
 
+def check_bits(packed: np.ndarray) -> np.ndarray:
+    """CHECK of the bits, from places all over the transform, as 64-bit words."""
+    order = np.random.default_rng(128).permutation(BITS)[:CHECK]
+    return np.ascontiguousarray(np.packbits(np.unpackbits(packed, axis=1)[:, order], axis=1)).view(np.uint64)
+
+
 def at_anchors(classes: DataFrame, blocks: int, free: int) -> DataFrame:
     """(key, cls, f1, f2) for every class and block; f1 and f2 are the CHECK bits."""
 
@@ -159,7 +166,7 @@ def at_anchors(classes: DataFrame, blocks: int, free: int) -> DataFrame:
             for lo in range(0, b.num_rows, 200):
                 part = b.slice(lo, 200)
                 packed = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, BITS // 8)
-                check = np.ascontiguousarray(packed[:, : CHECK // 8]).view(np.int64)
+                check = check_bits(packed).view(np.int64)
                 cls = part.column(0).to_numpy()
                 cols = [anchors(packed, blocks, free).reshape(-1), *(np.repeat(x, blocks) for x in (cls, check[:, 0], check[:, 1]))]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["key", "cls", "f1", "f2"])
@@ -272,7 +279,8 @@ def components(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, chunk:
     classes = scratch.save(rows.groupBy("cls").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("wide").alias("wide")), "classes")
     scratch.drop(rows)
     blocks, free = layout(classes.count(), missed)
-    spread = at_anchors(classes, blocks, free).withColumn("home", F.lit(True))
+    # a set of under LEAST shingles is similar to itself only
+    spread = at_anchors(classes.where(F.col("n") >= LEAST), blocks, free).withColumn("home", F.lit(True))
     near = scratch.save(near_forest(tiles(scratch, spread, ["key"], "cls", chunk)).distinct(), "near")
     links = verified(near, classes, docs, scratch, shingle)
     around = connected_components(scratch, near).select(F.col("id").alias("cls"), F.col("component").alias("g"))
@@ -283,7 +291,7 @@ def components(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, chunk:
     if rest.limit(1).count():
         sets = sets_of(rest.select(F.col("cls").alias("w")), classes, docs, scratch, shingle)
         met = rest.join(sets.select(F.col("cls").alias("of"), "s"), F.col("cls") == F.col("of")).select("g", "cls", "c", "s", F.lit(True).alias("home"))
-        links = links.unionAll(scratch.save(linked_in_tiles(tiles(scratch, met, ["g"], "cls", chunk)), "more"))
+        links = links.unionAll(scratch.save(linked_in_tiles(tiles(scratch, met, ["g"], "cls", min(chunk, SETS))), "more"))
     comp = connected_components(scratch, links)
     of = classes.join(comp, F.col("cls") == F.col("id"), "left").select("cls", "low", F.coalesce("component", "cls").alias("c"))
     return scratch.save(of, "members")

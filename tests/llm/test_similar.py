@@ -91,8 +91,7 @@ def test_recall_of_the_anchors(classes):
     for i, d, least in ((16, 2, 0.97), (80, 10, 0.97), (800, 100, 0.97), (90, 6, 0.999)):
         x, y = (similar.wide_fingerprints(s) for s in sets_at(i, d, 300))
         a, b = similar.anchors(x, blocks, free), similar.anchors(y, blocks, free)
-        check = [np.ascontiguousarray(w[:, : similar.CHECK // 8]).view(np.uint64) for w in (x, y)]
-        near = np.bitwise_count(check[0] ^ check[1]).sum(axis=1) <= similar.RADIUS
+        near = np.bitwise_count(similar.check_bits(x) ^ similar.check_bits(y)).sum(axis=1) <= similar.RADIUS
         assert ((a == b).any(axis=1) & near).mean() >= least
         assert (a == b).mean() >= 0.9 * similar.meets(free)
     assert classes / 2 ** (11 + free) <= max(similar.HOMES, classes / 2**11 if free == 0 else 0)
