@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sparkloom.llm import lattice, passages, simhash, suffix_array, suffix_tree
+from sparkloom.llm import exchange, lattice, passages, simhash, suffix_array, suffix_tree
 from sparkloom.llm.common import Scratch, connected_components
 
 from .fixtures import SCHEMA, documents, frame
@@ -265,3 +265,22 @@ def test_words_of_one_hash_are_told_apart(monkeypatch):
     assert same(suffix_tree.numbered(body, starts, ends).tolist()) == want
     monkeypatch.setattr(suffix_tree, "word_hashes", lambda *_: np.zeros(5, np.uint64))
     assert same(suffix_tree.numbered(body, starts, ends).tolist()) == want
+
+
+def test_buckets_stay_as_large_as_blocks_grow(spark):
+    """Sixteen times the blocks: a bucket gets no more, and a block sends no more bytes a key."""
+    rng = np.random.default_rng(8)
+
+    def most(n):
+        docs = spark.createDataFrame([(i, bytes(rng.integers(97, 123, 2000).astype(np.uint8)).decode()) for i in range(n)], "doc_id long, text string")
+        scratch = Scratch(spark, "t")
+        blocks = exchange.pack(docs.repartition(4), scratch, block_bytes=20_000)
+        count = blocks.count()
+        emit = lambda block, _: [(np.unique(passages.windows(block.data, block.off, 100, 32).key), [])]
+        back, _ = exchange.route(blocks, scratch, emit, lambda stream, group, values, size: [np.bincount(group).astype(np.uint8) if len(group) else np.zeros(0, np.uint8)])
+        entries = [(r.bucket, r.block, len(exchange.dec(bytes(r.message))[0])) for r in back.collect()]
+        by = {k: sum(n for b, _, n in entries if b == k) for k in {b for b, *_ in entries}}
+        return count, max(by.values()), sum(n for *_, n in entries) / count
+
+    few, many = most(320), most(5120)
+    assert many[0] >= 12 * few[0] and many[1] <= 1.7 * few[1] and many[2] == pytest.approx(few[2], rel=0.1)
