@@ -87,7 +87,9 @@ class Scratch:
         path, n = self._path(name), int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         table = f"sparkloom_{name}_{uuid.uuid4().hex[:12]}"
         df.write.format("parquet").option("path", path).bucketBy(n, key).saveAsTable(table)
-        return self._written(self.spark.table(table), path)
+        out = self.spark.table(table)
+        self.spark.sql(f"DROP TABLE {table}")  # the name goes; the files and the read relation stay
+        return self._written(out, path)
 
     def drop(self, *tables: DataFrame) -> None:
         """Deletes tables that nothing will read again."""
